@@ -41,16 +41,21 @@ def type_bronze(bronze: DataFrame) -> DataFrame:
     ``try_`` casts turn bad values into NULL (Spark 4 runs in ANSI mode, where a plain
     cast would fail the job); rows whose ``updated_at`` is NULL are then dropped.
     """
-    typed = bronze.drop("raw_payload").withColumns(
-        {
-            "event_time": F.try_to_timestamp(F.col("event_time")),
-            "updated_at": F.try_to_timestamp(F.col("updated_at")),
-            "quantity": F.col("quantity").try_cast("int"),
-            "unit_price": F.col("unit_price").try_cast("decimal(12,2)"),
-        }
-    )
-    typed = typed.withColumn("order_amount", F.col("quantity") * F.col("unit_price"))
-    return typed.withColumnsRenamed({"batch_id": "bronze_batch_id", "ingested_at": "bronze_ingested_at"})
+    parsed = {
+        "event_time": F.try_to_timestamp(F.col("event_time")),
+        "updated_at": F.try_to_timestamp(F.col("updated_at")),
+        "quantity": F.col("quantity").try_cast("int"),
+        "unit_price": F.col("unit_price").try_cast("decimal(12,2)"),
+    }
+    renamed = {"batch_id": "bronze_batch_id", "ingested_at": "bronze_ingested_at"}
+    cols = []
+    for name in bronze.columns:
+        if name == "raw_payload":
+            continue
+        c = parsed.get(name, F.col(name))
+        cols.append(c.alias(renamed.get(name, name)))
+    amount = parsed["quantity"] * parsed["unit_price"]
+    return bronze.select(*cols, amount.alias("order_amount"))
 
 
 def stage_latest(

@@ -9,10 +9,11 @@ Mapping of one lineitem row to one source line:
 * ``arrival_ts`` = ship date (when the line reaches the lake), ``line_no`` = line number
 
 Join order for scale: the dimension chain ``customer -> nation`` is joined to
-``orders`` first (orders is a quarter of lineitem), and lineitem is joined to
-that result and to ``part``. Nation is tiny and Spark broadcasts it from its
-size estimate; customer and part are joined by shuffle unless AQE finds them
-small at run time. Only the needed columns are read (column pruning reaches the scan).
+``orders`` first (orders is a quarter of lineitem), lineitem is joined to
+``part`` and then to that result on the order key. Nation is tiny and Spark
+broadcasts it from its size estimate; customer and part are joined by shuffle
+unless they are small by estimate or AQE finds them small at run time. Only the
+needed columns are read (column pruning reaches the scan).
 """
 
 from __future__ import annotations
@@ -36,6 +37,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan over the cluster when it yields fewer splits than cores.
+
+    A large table arrives in many files and row groups, so its scan is already
+    parallel and this is a no-op (no shuffle). A table stored as one row group would
+    otherwise run every following narrow step in a single task.
+    """
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    try:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a client session without RDD access
+        return df
+    return df.repartition(target) if splits < target else df
+
+
 def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One source line per lineitem row (S7: 8 source columns plus lineage)."""
     lineitem = table(spark, sf_dir, "lineitem").select(
@@ -49,6 +66,7 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_tax",
         "l_shipdate",
     )
+    lineitem = spread(lineitem)
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"
     )
@@ -58,9 +76,12 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     customers = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
     placed = orders.join(customers, orders.o_custkey == customers.c_custkey)
-    joined = lineitem.join(placed, lineitem.l_orderkey == placed.o_orderkey).join(
-        part, lineitem.l_partkey == part.p_partkey
-    )
+    # lineitem meets part first: a small part table is broadcast by its size
+    # estimate and lineitem streams through it; the big lineitem x orders join is a
+    # shuffle join on the order key, which AQE turns into a broadcast at run time
+    # only when the orders side turns out small.
+    priced = lineitem.join(part, lineitem.l_partkey == part.p_partkey)
+    joined = priced.join(placed, priced.l_orderkey == placed.o_orderkey)
 
     returned = F.col("l_returnflag") == F.lit("R")
     return joined.select(
