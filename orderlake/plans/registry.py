@@ -25,7 +25,7 @@ from orderlake.operators.merge import changed_values, merge_latest
 from orderlake.operators.staging import stage_latest, type_bronze
 from orderlake.plans import backfill as bf
 from orderlake.plans import reports
-from orderlake.session import tune_for_scale, use_utc
+from orderlake.session import checkpoint_dir, tune_for_scale, use_utc
 from orderlake.sources.retail import retail_lines
 from orderlake.sources.schemas import CLOCK_COLUMNS, LANDING_COLUMNS, LANDING_SCHEMA, SILVER_COLUMNS
 
@@ -50,6 +50,19 @@ def _ntz(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def shared(df: DataFrame) -> DataFrame:
+    """Materialise a derivation that several branches of one plan consume.
+
+    ``checkpoint()`` writes it once to the session's checkpoint folder (shared
+    storage on a cluster) and cuts the lineage, so the branches read it instead of
+    recomputing the joins, and a lost executor does not replay them. Without a
+    checkpoint folder the plan simply recomputes.
+    """
+    if checkpoint_dir(df.sparkSession):
+        return df.checkpoint(eager=True)
+    return df
+
+
 def _prep(spark: SparkSession) -> None:
     use_utc(spark)
     tune_for_scale(spark)
@@ -112,11 +125,11 @@ def silver_by_line(spark: SparkSession, sf: str, source: DataFrame | None = None
 
 
 def faulty_silver(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.add_duplicate_flag(silver_by_line(spark, sf, faulty_lines(spark, sf)))
+    return quality.add_duplicate_flag(shared(silver_by_line(spark, sf, faulty_lines(spark, sf))))
 
 
 def _split_loads(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    b = bronze(spark, sf)
+    b = shared(bronze(spark, sf))
     cut = F.lit(MERGE_CUTOVER).cast("date")
     day = F.substring("updated_at", 1, 10).cast("date")
     first = stage_latest(b.filter(day < cut), keys=LINE_KEYS, with_clock=False)
@@ -130,9 +143,9 @@ def merged_loads(spark: SparkSession, sf: str) -> DataFrame:
     return merge_latest(first.select(*cols), second.select(*cols), keys=LINE_KEYS, columns=cols, track=["event_date"])
 
 
-def correction_batch(spark: SparkSession, sf: str) -> DataFrame:
+def correction_batch(spark: SparkSession, sf: str, b: DataFrame | None = None) -> DataFrame:
     """Replays of every line; cancelled lines come back 4 hours newer with |qty|+1."""
-    b = bronze(spark, sf)
+    b = b if b is not None else bronze(spark, sf)
     newer = C.iso_utc(F.try_to_timestamp("updated_at") + F.expr("INTERVAL 4 HOURS"))
     return b.withColumns(
         {
@@ -149,7 +162,7 @@ def gold_silver(spark: SparkSession, sf: str) -> DataFrame:
 
 def ops_records(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Run log and DQ results as daily runs over the faulty ship-day batches would write them."""
-    typed = type_bronze(bronze(spark, sf, faulty_lines(spark, sf)))
+    typed = shared(type_bronze(bronze(spark, sf, faulty_lines(spark, sf))))
     dq = bf.batch_quality_results(typed)
     log = bf.batch_run_log(typed, dq)
     return log, dq
@@ -167,7 +180,7 @@ def backfill_range_frames(spark: SparkSession, sf: str) -> tuple[DataFrame, Data
         F.date_format(end, "yyyy-MM-dd"),
     )
     by_day = bf.backfill_lines(src, days, limit_per_day=bf.DEFAULT_LIMIT_PER_DAY)
-    b = bf.backfill_bronze(by_day, prefix)
+    b = shared(bf.backfill_bronze(by_day, prefix))
     return b, days, prefix
 
 
@@ -247,14 +260,15 @@ def q_silver_merge(spark, sf):
 
 def q_silver_merge_ties(spark, sf):
     cols = [*SILVER_OUT, "line_no"]
-    target = silver_by_line(spark, sf).select(*cols)
-    source = stage_latest(correction_batch(spark, sf), keys=LINE_KEYS, with_clock=False).select(*cols)
+    b = shared(bronze(spark, sf))
+    target = stage_latest(b, keys=LINE_KEYS, with_clock=False).select(*cols)
+    source = stage_latest(correction_batch(spark, sf, b), keys=LINE_KEYS, with_clock=False).select(*cols)
     m = merge_latest(target, source, keys=LINE_KEYS, columns=cols, track=["event_date"])
     return _ntz(m.select(*cols, "_merge_action"))
 
 
 def q_dq_duplicate_flag(spark, sf):
-    s = quality.add_duplicate_flag(silver_by_line(spark, sf))
+    s = quality.add_duplicate_flag(shared(silver_by_line(spark, sf)))
     return s.select("order_id", "invoice_no", "line_no", "stock_code", quality.DUPLICATE_FLAG)
 
 
@@ -276,7 +290,7 @@ def q_dq_gate_summary(spark, sf):
 
 
 def q_dq_freshness(spark, sf):
-    s = silver_latest(spark, sf)
+    s = shared(silver_latest(spark, sf))
     as_of = s.agg(F.max("updated_at")).scalar()
     return _ntz(quality.freshness_check(s, as_of, hours=24))
 
@@ -312,7 +326,7 @@ def q_run_log_latest(spark, sf):
 
 
 def q_gold_affected_dates(spark, sf):
-    m = merged_loads(spark, sf)
+    m = shared(merged_loads(spark, sf))
     affected = changed_values(m, "event_date")
     return gold.daily_sales_for_dates(m.drop("_merge_action", "_old_event_date"), affected, with_clock=False)
 
@@ -346,7 +360,7 @@ def q_cancellation_rate(spark, sf):
 
 
 def q_change_classes(spark, sf):
-    c = classify_changes(bronze(spark, sf), keys=LINE_KEYS, batch_col="batch_id")
+    c = classify_changes(shared(bronze(spark, sf)), keys=LINE_KEYS, batch_col="batch_id")
     return _ntz(c)
 
 
