@@ -77,7 +77,7 @@ _LINES: dict[tuple[int, str], DataFrame] = {}
 def lines(spark: SparkSession, sf: str) -> DataFrame:
     """Source lines; the (lazy, already analysed) DataFrame is reused per session."""
     _prep(spark)
-    key = (id(spark._jsparkSession), sf)
+    key = (id(spark), sf)
     if key not in _LINES:
         _LINES[key] = retail_lines(spark, sf)
     return _LINES[key]

@@ -20,6 +20,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType, TimestampType
+
+from orderlake.sources.schemas import SOURCE_LINE_COLUMNS
+
+# Raw invoice-line export (e.g. a CSV copy of the source workbook). Ids are read as
+# text so a missing customer never turns ``17850`` into ``17850.0``.
+SOURCE_LINE_SCHEMA = StructType(
+    [
+        StructField("InvoiceNo", StringType()),
+        StructField("StockCode", StringType()),
+        StructField("Description", StringType()),
+        StructField("Quantity", DoubleType()),
+        StructField("InvoiceDate", TimestampType()),
+        StructField("UnitPrice", DoubleType()),
+        StructField("CustomerID", StringType()),
+        StructField("Country", StringType()),
+    ]
+)
 
 # Extra attributes carried next to each line; Catalyst prunes them when unused.
 LINE_ATTRIBUTES = [
@@ -37,6 +55,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def read_invoice_lines(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "csv",
+    timestamp_format: str = "yyyy-MM-dd HH:mm:ss",
+) -> DataFrame:
+    """Raw invoice lines from files, with an explicit schema, projected to the 8 source columns.
+
+    CSV needs a header; any other Spark file format (parquet, orc, json) works too.
+    Unparseable numbers and dates become NULL and are then cleaned like any NULL.
+    """
+    reader = spark.read.format(fmt)
+    if fmt == "csv":
+        reader = (
+            reader.option("header", "true")
+            .option("mode", "PERMISSIVE")
+            .option("timestampFormat", timestamp_format)
+            .schema(SOURCE_LINE_SCHEMA)
+        )
+    return reader.load(path).select(*SOURCE_LINE_COLUMNS)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin a scan over the cluster when it yields fewer splits than cores.
 
