@@ -25,14 +25,13 @@ def prepare_bronze(
     ``event_date`` is the UTC calendar date written in ``event_time``.
     """
     payload_fields = sorted(c for c in LANDING_COLUMNS if c in events.columns)
-    enriched = events.withColumns(
-        {
-            "raw_payload": F.to_json(F.struct(*[F.col(c) for c in payload_fields])),
-            "source_file": _value(source_file),
-            "batch_id": _value(batch_id),
-            "ingested_at": ingested_at if ingested_at is not None else F.current_timestamp(),
-            "event_date": F.col("event_time").try_cast("date"),
-        }
-    )
-    extras = [c for c in events.columns if c not in BRONZE_COLUMNS]
-    return enriched.select(*BRONZE_COLUMNS, *extras)
+    added = {
+        "raw_payload": F.to_json(F.struct(*[F.col(c) for c in payload_fields])),
+        "source_file": _value(source_file),
+        "batch_id": _value(batch_id),
+        "ingested_at": ingested_at if ingested_at is not None else F.current_timestamp(),
+        "event_date": F.col("event_time").try_cast("date"),
+    }
+    cols = [added[c].alias(c) if c in added else F.col(c) for c in BRONZE_COLUMNS]
+    extras = [F.col(c) for c in events.columns if c not in BRONZE_COLUMNS]
+    return events.select(*cols, *extras)

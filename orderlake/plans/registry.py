@@ -89,7 +89,7 @@ def _ship_day() -> F.Column:
 
 def events(spark: SparkSession, sf: str, source: DataFrame | None = None) -> DataFrame:
     src = source if source is not None else lines(spark, sf)
-    return to_order_events(src.withColumn("__ship", _ship_day()), arrival_date=F.col("__ship"), keep=["line_no"])
+    return to_order_events(src, arrival_date=_ship_day(), keep=["line_no"])
 
 
 def bronze(spark: SparkSession, sf: str, source: DataFrame | None = None) -> DataFrame:
