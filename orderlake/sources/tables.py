@@ -113,13 +113,24 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
 # ------------------------------------------------------------------ writes
 
 
+def rebalanced(df: DataFrame, *cols: str) -> DataFrame:
+    """Group rows by the partition columns before a partitioned write.
+
+    Without it every task writes a file into every date it holds (tasks x dates
+    small files). ``REBALANCE`` lets adaptive execution size the output tasks and
+    split a hot date over several tasks instead of one.
+    """
+    return df.hint("rebalance", *cols) if cols else df
+
+
 def write_landing(events: DataFrame, lake: Lake, run_date: F.Column, batch_id: F.Column) -> None:
     """K1: JSON lines under ``orders/event_date=<run date>/batch_id=<batch>``.
 
     Dynamic partition overwrite: re-running one batch replaces only that batch.
     """
+    out = events.select(*LANDING_COLUMNS, F.date_format(run_date, "yyyy-MM-dd").alias("event_date"), batch_id.alias("batch_id"))
     (
-        events.select(*LANDING_COLUMNS, F.date_format(run_date, "yyyy-MM-dd").alias("event_date"), batch_id.alias("batch_id"))
+        rebalanced(out, "event_date", "batch_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("event_date", "batch_id")
@@ -129,6 +140,8 @@ def write_landing(events: DataFrame, lake: Lake, run_date: F.Column, batch_id: F
 
 def append(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | None = None) -> None:
     """K2/K5/K6/K7: append rows (partitioned when asked)."""
+    if partition_by:
+        df = rebalanced(df, partition_by)
     w = df.write.format(fmt).mode("append")
     if partition_by:
         w = w.partitionBy(partition_by)
@@ -137,6 +150,8 @@ def append(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | N
 
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | None = None) -> None:
     """K3/K4: replace a whole table (Delta also replaces its schema)."""
+    if partition_by:
+        df = rebalanced(df, partition_by)
     w = df.write.format(fmt).mode("overwrite")
     if fmt == "delta":
         w = w.option("overwriteSchema", "true")
@@ -148,7 +163,8 @@ def overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str
 def overwrite_partitions(df: DataFrame, path: str, partition_by: str = "event_date") -> None:
     """Replace only the partitions present in ``df`` (Parquet dynamic overwrite)."""
     (
-        df.write.mode("overwrite")
+        rebalanced(df, partition_by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_by)
         .format("parquet")
