@@ -109,18 +109,49 @@ def add_duplicate_flag(df: DataFrame, keys: Sequence[str] = ("order_id",), flag:
     return joined.select(*df.columns, (F.col("__key_rows") > F.lit(1)).alias(flag))
 
 
+def uses_duplicate_flag(check: DataQualityCheck, flag: str = DUPLICATE_FLAG) -> bool:
+    return flag in check.failure_expression
+
+
 def quality_results(
     df: DataFrame,
     checks: Sequence[DataQualityCheck] = SILVER_ORDER_CHECKS,
     run_id: str | Column = "",
     created_at: Column | None = None,
+    duplicate_keys: Sequence[str] | None = None,
 ) -> DataFrame:
     """A7 + P25/P26: one row per check, all counts from a single scan.
 
+    ``df`` either carries the duplicate flag already, or ``duplicate_keys`` is given:
+    then the duplicate check is counted WITHOUT flagging rows, as the sum of group
+    sizes over keys seen more than once (a partial aggregate of the key columns),
+    and the other checks come from one scan of ``df``. No join of the table with
+    its key counts is needed for the results.
+
     Empty input gives ``total_count = 0``, status ``pass`` and rate 0.0.
     """
-    failed = [F.count_if(F.expr(c.failure_expression)).alias(f"__f{i}") for i, c in enumerate(checks)]
-    counts = df.agg(*failed, F.count(F.lit(1)).alias("__total"))
+    if duplicate_keys is None:
+        failed = [F.count_if(F.expr(c.failure_expression)).alias(f"__f{i}") for i, c in enumerate(checks)]
+        counts = df.agg(*failed, F.count(F.lit(1)).alias("__total"))
+    else:
+        row_checks = [(i, c) for i, c in enumerate(checks) if not uses_duplicate_flag(c)]
+        scan = df.agg(
+            *[F.count_if(F.expr(c.failure_expression)).alias(f"__f{i}") for i, c in row_checks],
+            F.count(F.lit(1)).alias("__total"),
+        )
+        in_dups = (
+            df.groupBy(*duplicate_keys)
+            .agg(F.count(F.lit(1)).alias("__n"))
+            .agg(F.coalesce(F.sum(F.when(F.col("__n") > 1, F.col("__n"))), F.lit(0)).alias("__dups"))
+        )
+        dups = in_dups.scalar()
+        counts = scan.select(
+            *[
+                (F.col(f"__f{i}") if not uses_duplicate_flag(c) else dups).alias(f"__f{i}")
+                for i, c in enumerate(checks)
+            ],
+            "__total",
+        )
     rows = F.array(
         *[
             F.struct(

@@ -273,7 +273,9 @@ def q_dq_duplicate_flag(spark, sf):
 
 
 def _dq_results(spark, sf):
-    return quality.quality_results(faulty_silver(spark, sf), run_id=DQ_RUN_ID)
+    # counts without the row-level flag: one scan + one key aggregate
+    s = shared(silver_by_line(spark, sf, faulty_lines(spark, sf)))
+    return quality.quality_results(s, run_id=DQ_RUN_ID, duplicate_keys=["order_id"])
 
 
 def q_dq_results(spark, sf):

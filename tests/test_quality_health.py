@@ -73,3 +73,12 @@ def test_pipeline_health_and_report(spark):
     assert (s.last_run_at, s.last_status, s.last_message) == (dt.datetime(2010, 12, 1, 11, 5), "failed", "DQ failures: 1")
     flags = [(r.pipeline_step, r.success_flag) for r in reports.health(H.pipeline_health(log, dq)).orderBy("row_num").collect()]
     assert flags == [("bronze_orders", 1), ("data_quality_summary", 0), ("quality_checks", 0)]
+
+
+def test_duplicate_count_without_flag_matches_flagged(spark):
+    rows = silver_rows(spark)
+    flagged = {r.check_name: r.failed_count for r in Q.quality_results(Q.add_duplicate_flag(rows)).collect()}
+    direct = {r.check_name: r.failed_count for r in Q.quality_results(rows, duplicate_keys=["order_id"]).collect()}
+    assert flagged == direct == EXPECTED_FAILED
+    empty = Q.quality_results(rows.limit(0), duplicate_keys=["order_id"]).collect()
+    assert all(r.failed_count == 0 and r.status == "pass" for r in empty)
