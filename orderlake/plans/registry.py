@@ -77,10 +77,15 @@ _LINES: dict[tuple[int, str], DataFrame] = {}
 def lines(spark: SparkSession, sf: str) -> DataFrame:
     """Source lines; the (lazy, already analysed) DataFrame is reused per session."""
     _prep(spark)
-    key = (id(spark), sf)
-    if key not in _LINES:
-        _LINES[key] = retail_lines(spark, sf)
-    return _LINES[key]
+    try:
+        app = spark.sparkContext.applicationId  # changes with every new Spark context
+    except Exception:  # noqa: BLE001 - client sessions have no SparkContext
+        app = str(id(spark))
+    key = (app, sf)
+    cached = _LINES.get(key)
+    if cached is None or cached.sparkSession is not spark:
+        cached = _LINES[key] = retail_lines(spark, sf)
+    return cached
 
 
 def _ship_day() -> F.Column:
