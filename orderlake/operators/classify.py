@@ -58,7 +58,8 @@ def classify_changes(
 
     distinct_rows = rows.groupBy(*kbu, "event_date", *detail).agg(F.count(F.lit(1)).alias("__copies"))
 
-    per_batch = rows.groupBy(*kb).agg(F.max("__u").alias("__bmax"), F.min("__u").alias("__bmin"))
+    # Both summaries come from the collapsed rows (copies already merged map-side).
+    per_batch = distinct_rows.groupBy(*kb).agg(F.max("__u").alias("__bmax"), F.min("__u").alias("__bmin"))
     by_key = Window.partitionBy(*keys)
     per_batch = per_batch.withColumns(
         {
