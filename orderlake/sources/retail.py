@@ -78,19 +78,20 @@ def read_invoice_lines(
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over the cluster when it yields fewer splits than cores.
+    """Spread a scan over the cluster when it yields fewer splits than cores.
 
     A large table arrives in many files and row groups, so its scan is already
     parallel and this is a no-op (no shuffle). A table stored as one row group would
-    otherwise run every following narrow step in a single task.
+    otherwise run every following narrow step in a single task. The ``REBALANCE``
+    hint (no columns) lets adaptive execution pick the number of partitions from
+    the measured size instead of a fixed count.
     """
     spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
     try:
         splits = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - e.g. a client session without RDD access
         return df
-    return df.repartition(target) if splits < target else df
+    return df.hint("rebalance") if splits < spark.sparkContext.defaultParallelism else df
 
 
 def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
