@@ -432,6 +432,11 @@ def oracle_sql() -> dict[str, str]:
         "\nSELECT order_id, count(*) AS line_count, count(DISTINCT line_no) AS distinct_lines "
         "FROM ev GROUP BY order_id HAVING count(*) > 1"
     )
+    q["clean_strings"] = _with(LINES, FAULTY) + (
+        f"\nSELECT {_clean('InvoiceNo')} AS InvoiceNo, {_clean('StockCode')} AS StockCode, "
+        f"{_clean('Description')} AS Description, {_clean('CustomerID')} AS CustomerID, {_clean('Country')} AS Country, "
+        f"coalesce(TRY_CAST(trunc(Quantity) AS BIGINT), 0) AS Quantity, {_price('UnitPrice')} AS UnitPrice, line_no FROM faulty"
+    )
     unit = "CASE WHEN l_quantity = 0 THEN NULL ELSE l_extendedprice / l_quantity END"
     q["half_even_price"] = (
         f"SELECT l_orderkey, l_linenumber, {_price(unit)} AS unit_price, "

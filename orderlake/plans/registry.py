@@ -209,6 +209,18 @@ def q_line_key(spark, sf):
     )
 
 
+def q_clean_strings(spark, sf):
+    """P1-P3 on lines with real NULL invoice numbers, blank countries, zero and negative values."""
+    src = faulty_lines(spark, sf)
+    t = {f.name: f.dataType for f in src.schema.fields}
+    return src.select(
+        *[C.clean_string(c, t[c]).alias(c) for c in ("InvoiceNo", "StockCode", "Description", "CustomerID", "Country")],
+        C.parse_int("Quantity", t["Quantity"]).alias("Quantity"),
+        C.parse_decimal("UnitPrice", t["UnitPrice"]).alias("UnitPrice"),
+        "line_no",
+    )
+
+
 def q_half_even_price(spark, sf):
     _prep(spark)
     li = spark.read.parquet(f"{sf}/lineitem.parquet")
@@ -385,6 +397,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_lines": q_source_lines,
     "landing_events": q_landing_events,
     "line_key": q_line_key,
+    "clean_strings": q_clean_strings,
     "half_even_price": q_half_even_price,
     "bronze_enrich": q_bronze_enrich,
     "bronze_payload_roundtrip": q_bronze_payload_roundtrip,
