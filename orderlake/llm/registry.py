@@ -6,15 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orderlake.llm.near_dedup import op7_near_dedup
 from orderlake.llm.packing import op4_packing
 from orderlake.llm.ship import shipped
 from orderlake.llm.substring_dedup import OP1_SQL, op1_substring_dedup
+from orderlake.llm.token_counts import op9_token_counts
 from orderlake.llm.token_records import op3_token_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_token_records": op3_token_records,
     "op4_packing": op4_packing,
+    "op7_near_dedup": op7_near_dedup,
+    "op9_token_counts": op9_token_counts,
 }
 
 QUERIES = {name: shipped(query) for name, query in QUERIES.items()}
