@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orderlake.llm.cross_polytope import op2_cross_polytope
+from orderlake.llm.language_id import op5_language_id
 from orderlake.llm.near_dedup import op7_near_dedup
 from orderlake.llm.packing import op4_packing
 from orderlake.llm.ship import shipped
@@ -15,8 +17,10 @@ from orderlake.llm.token_records import op3_token_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_cross_polytope": op2_cross_polytope,
     "op3_token_records": op3_token_records,
     "op4_packing": op4_packing,
+    "op5_language_id": op5_language_id,
     "op7_near_dedup": op7_near_dedup,
     "op9_token_counts": op9_token_counts,
 }
