@@ -33,9 +33,9 @@ from orderlake.llm.words import group_sums, mix, multipliers, slices, words
 BUCKETS = 1 << 15
 SIZE = 16
 GRAMS = 4
-PER_LANGUAGE = 600
+PER_LANGUAGE = 400
 LANGUAGES = 256
-EPOCHS = 6
+EPOCHS = 3
 BATCH = 32
 RATE = 0.5
 SHORT = 12

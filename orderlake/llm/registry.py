@@ -12,6 +12,8 @@ from orderlake.llm.near_dedup import op7_near_dedup
 from orderlake.llm.packing import op4_packing
 from orderlake.llm.ship import shipped
 from orderlake.llm.substring_dedup import OP1_SQL, op1_substring_dedup
+from orderlake.llm.surrogates import op8_surrogates
+from orderlake.llm.templates import op10_templates
 from orderlake.llm.token_counts import op9_token_counts
 from orderlake.llm.token_records import op3_token_records
 
@@ -22,7 +24,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op5_language_id": op5_language_id,
     "op7_near_dedup": op7_near_dedup,
+    "op8_surrogates": op8_surrogates,
     "op9_token_counts": op9_token_counts,
+    "op10_templates": op10_templates,
 }
 
 QUERIES = {name: shipped(query) for name, query in QUERIES.items()}

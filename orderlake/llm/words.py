@@ -37,7 +37,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def multipliers(n: int, seed: int = 0) -> np.ndarray:
     """n odd 64-bit multipliers; the first ones are the same for every n."""
-    return mix((np.arange(1, n + 1, dtype=U) + U(seed) * U(0x632BE59BD9B4E019)) * U(0x9E3779B97F4A7C15)) | U(1)
+    return mix((np.arange(1, n + 1, dtype=U) + U(seed * 0x632BE59BD9B4E019 & 0xFFFFFFFFFFFFFFFF)) * U(0x9E3779B97F4A7C15)) | U(1)
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
