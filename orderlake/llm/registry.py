@@ -10,6 +10,7 @@ from orderlake.llm.cross_polytope import op2_cross_polytope
 from orderlake.llm.language_id import op5_language_id
 from orderlake.llm.near_dedup import op7_near_dedup
 from orderlake.llm.packing import op4_packing
+from orderlake.llm.quotations import OP6_SQL, op6_quotations
 from orderlake.llm.ship import shipped
 from orderlake.llm.substring_dedup import OP1_SQL, op1_substring_dedup
 from orderlake.llm.surrogates import op8_surrogates
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_records": op3_token_records,
     "op4_packing": op4_packing,
     "op5_language_id": op5_language_id,
+    "op6_quotations": op6_quotations,
     "op7_near_dedup": op7_near_dedup,
     "op8_surrogates": op8_surrogates,
     "op9_token_counts": op9_token_counts,
@@ -33,4 +35,5 @@ QUERIES = {name: shipped(query) for name, query in QUERIES.items()}
 
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
+    "op6_quotations": OP6_SQL,
 }
