@@ -86,7 +86,7 @@ def sketches(row: np.ndarray, value: np.ndarray, rows: int, t: int) -> np.ndarra
     for i in range(2 * t):
         if not len(row):
             break
-        h = mix(value + U(i) * U(0x9E3779B97F4A7C15))
+        h = mix(value + U(i * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
         bins = ((h & U(0xFFFF)) * U(t) >> U(16)).astype(np.int64) if i < t else i - t
         np.minimum.at(flat, row * t + bins, U(i) << U(48) | h >> U(16))
         present = np.unique(row)
