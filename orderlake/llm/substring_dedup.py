@@ -1,18 +1,19 @@
 """Exact removal of repeated word windows by super-k-mer partitioning.
 
-Consecutive windows of a document that share a minimiser (the smallest hash of their three-word
+Consecutive windows of a document that share a minimiser (the smallest hash of their two-word
 pieces) form a run, the super-k-mer. A run travels as one packed string to the bucket of its
 minimiser; there the windows of all runs of one minimiser are sorted, and equal neighbours give the
-smallest document that holds each window. Equal runs of a map task travel once, with the smallest and
-largest document that has them, so thousands of copies cost a row per task. A second, slim pass
-(document, run) finds the runs that hold repeated windows by an equi-join which Spark can split
-where one run is very frequent.
+smallest document that holds each window. Documents are dealt to groups by hash; equal runs of a group
+travel once, with the smallest and largest document that has them, so thousands of copies cost a run for
+each group. The buckets answer to the groups, which hold the texts and cut their runs again to find the
+words that are covered.
 
 Minimisers that hold more than one run in ``HEAVY_SHARE`` of a task (and enough of them over all
 tasks) are split: each of their windows travels alone, to the bucket of the window's own hash. The
 result is the same either way; only the route differs.
 
-Runs are matched by two 64-bit hashes (route and content), windows by their bytes.
+Runs are matched by two 64-bit hashes (route and content), windows by their bytes. Hashes are worked out
+again from the words where a run arrives, so they don't travel.
 
 Defined results: null text has no words; fewer words than a window, nothing is removed; a null id
 is never earlier than another id and its document stays whole; repeated rows give equal rows;
@@ -27,21 +28,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.llm.packed import pack_text, unpack
 from orderlake.llm.storage import cut
-from orderlake.llm.words import Words, mix, multipliers, sequence_hash, slices, words
+from orderlake.llm.words import Words, mix, multipliers, ragged, sequence_hash, slices, words
 
 WINDOW = 13
-PIECE = 3
+PIECE = 2
 #: Bytes of words for each bucket, before runs overlap.
 BUCKET_BYTES = 2 << 20
-#: Bytes of text whose runs are gathered before they are dealt to buckets.
-GATHER_BYTES = 8 << 20
-#: A minimiser with more than one in so many runs of a gathering is reported as heavy.
+#: Bytes of text in a group of documents: equal runs of a group travel once.
+GROUP_BYTES = 4 << 20
+#: A minimiser with more than one in so many runs of a group's worth of text is reported as heavy.
 HEAVY_SHARE = 4096
 #: Heavy minimisers with fewer runs than this in all, or than one in 100,000, need no split.
 HEAVY_RUNS = 10_000
@@ -51,6 +53,25 @@ LONGEST = 256
 U = np.uint64
 
 
+def _pieces(h: np.ndarray) -> np.ndarray:
+    """Hash of the words from each place on that make a piece."""
+    m = multipliers(PIECE, 7)
+    g = np.zeros(len(h) - PIECE + 1, U)
+    for k in range(PIECE):
+        g += h[k : len(h) - PIECE + 1 + k] * m[k]
+    return mix(g)
+
+
+def _least(h: np.ndarray, window: int) -> np.ndarray:
+    """Minimiser of the window from each place on."""
+    least, width, span = _pieces(h), 1, window - PIECE + 1
+    while width * 2 <= span:
+        least = np.minimum(least[: len(least) - width], least[width:])
+        width *= 2
+    rest = span - width
+    return np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
+
+
 def runs(w: Words, window: int, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """First word, number of windows, route and content hash of each run of these texts."""
     h = w.hashes()
@@ -58,17 +79,7 @@ def runs(w: Words, window: int, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray
     none = np.zeros(0, np.int64)
     if n <= 0:
         return none, none, none.astype(U), none.astype(U)
-    piece = multipliers(PIECE, 7)
-    g = h[: len(h) - PIECE + 1] * piece[0]
-    for k in range(1, PIECE):
-        g = g + h[k : len(h) - PIECE + 1 + k] * piece[k]
-    g = mix(g)
-    least, width, span = g, 1, window - PIECE + 1
-    while width * 2 <= span:
-        least = np.minimum(least[: len(least) - width], least[width:])
-        width *= 2
-    rest = span - width
-    least = np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
+    least = _least(h, window)
     valid = w.row[:n] == w.row[window - 1 :]
     alone = np.isin(least, hot)
     begins = valid.copy()
@@ -93,7 +104,7 @@ def _heavy(docs: DataFrame, text_col: str, window: int) -> tuple[np.ndarray, int
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text_col, GATHER_BYTES // 2):
+            for part in slices(batch, text_col, GROUP_BYTES):
                 w = words(part.column(text_col))
                 _, _, route, _ = runs(w, window, np.zeros(0, U))
                 m, k = np.unique(route, return_counts=True)
@@ -117,184 +128,179 @@ def _heavy(docs: DataFrame, text_col: str, window: int) -> tuple[np.ndarray, int
     return np.array(sorted(hot), dtype=np.int64).astype(U), total["bytes"]
 
 
-def _to_buckets(batches: Iterator[pa.RecordBatch], id_col: str, text_col: str, window: int, hot: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Distinct runs of about GATHER_BYTES of text, one packed payload for each bucket."""
-    press = zstandard.ZstdCompressor(level=1)
-    held: list[tuple] = []
-    held_bytes = 0
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        if not held:
-            return
-        route, content, doc = (np.concatenate([x[k] for x in held]) for k in range(3))
-        texts = [t for x in held for t in x[3]]
+def _described(w: Words, alone: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Route and content hash of packed runs, one a row; the same as where they were cut."""
+    h = w.hashes()
+    count = np.diff(w.first)
+    content = sequence_hash(h, w.first[:-1], count, 3)
+    route = sequence_hash(h, w.first[:-1], count, 5)
+    kept = np.flatnonzero(~alone)
+    if len(kept):
+        g = _pieces(h)
+        size = count[kept] - PIECE + 1
+        route[kept] = np.minimum.reduceat(g[ragged(w.first[kept], size)], np.concatenate(([0], np.cumsum(size)[:-1])))
+    return route, content
+
+
+def _payload(press: zstandard.ZstdCompressor, low: np.ndarray, high: np.ndarray, alone: np.ndarray, texts: list[bytes]) -> bytes:
+    """Runs as one string: smallest and largest document, whether alone, length, texts."""
+    head = np.stack([low.astype(U), (high - low).astype(U), alone.astype(U), np.array([len(t) for t in texts], U)])
+    return press.compress(np.ascontiguousarray(head.view(np.uint8).reshape(4, -1, 8).transpose(0, 2, 1)).tobytes() + b"".join(texts))
+
+
+def _opened(payload: bytes, n: int) -> tuple[np.ndarray, list[bytes]]:
+    raw = zstandard.ZstdDecompressor().decompress(payload)
+    head = np.ascontiguousarray(np.frombuffer(raw, np.uint8, 32 * n).reshape(4, 8, n).transpose(0, 2, 1)).view(U)[:, :, 0].astype(np.int64)
+    ends = np.cumsum(head[3]) + 32 * n
+    return head[:3], [raw[b - k : b] for b, k in zip(ends.tolist(), head[3].tolist(), strict=True)]
+
+
+def _send(table: pa.Table, window: int, hot: np.ndarray, buckets: int) -> pa.Table:
+    """Distinct runs of a group of documents, packed for each bucket."""
+    group = table["part"][0].as_py()
+    routes, contents, docs, singles, texts = [], [], [], [], []
+    for part in table.filter(pc.is_valid(table["doc"])).combine_chunks().to_batches(max_chunksize=256):
+        w = words(unpack(part.column("packed")))
+        start, number, route, content = runs(w, window, hot)
+        if len(start):
+            text, at = w.joined()
+            ends = at[start + number + window - 1] - 1
+            texts += [text[a:b] for a, b in zip(at[start].tolist(), ends.tolist(), strict=True)]
+            docs.append(part.column("doc").to_numpy()[w.row[start]])
+            singles.append(np.isin(_least(w.hashes(), window)[start], hot))
+            routes.append(route)
+            contents.append(content)
+    out: tuple[list, list, list] = ([], [], [])
+    if texts:
+        route, content, doc, alone = (np.concatenate(x) for x in (routes, contents, docs, singles))
         order = np.lexsort((doc, content, route))
         r, c, d = route[order], content[order], doc[order]
         new = np.ones(len(r), bool)
         new[1:] = (r[1:] != r[:-1]) | (c[1:] != c[:-1])
         begin = np.flatnonzero(new)
-        low, high = d[begin], d[np.append(begin[1:], len(r)) - 1]
-        r, c, pick = r[begin], c[begin], order[begin]
-        bucket = (mix(r) % U(buckets)).astype(np.int64)
+        low, high, pick = d[begin], d[np.append(begin[1:], len(r)) - 1], order[begin]
+        bucket = (mix(r[begin]) % U(buckets)).astype(np.int64)
         by = np.argsort(bucket, kind="stable")
         edges = np.append(np.flatnonzero(np.append(True, bucket[by][1:] != bucket[by][:-1])), len(by))
-        numbers, payloads = [], []
+        press = zstandard.ZstdCompressor(level=3)
         for a, b in zip(edges[:-1], edges[1:], strict=True):
             own = by[a:b]
-            packed = [texts[k] for k in pick[own]]
-            head = np.concatenate([r[own], c[own], low[own].astype(U), high[own].astype(U), np.array([len(p) for p in packed], U)])
-            payloads.append(press.compress(head.tobytes() + b"".join(packed)))
-            numbers.append((int(bucket[own[0]]), len(own)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([x[0] for x in numbers], pa.int64()), pa.array([x[1] for x in numbers], pa.int32()), pa.array(payloads, pa.binary())],
-            names=["bucket", "n", "payload"],
-        )
-
-    for batch in batches:
-        for part in slices(batch, text_col):
-            w = words(part.column(text_col))
-            ids = part.column(id_col)
-            start, number, route, content = runs(w, window, hot)
-            known = ids.is_valid().to_numpy(zero_copy_only=False)[w.row[start]] if len(start) else np.zeros(0, bool)
-            start, number, route, content = start[known], number[known], route[known], content[known]
-            if len(start):
-                text, at = w.joined()
-                ends = at[start + number + window - 1] - 1
-                doc = ids.fill_null(0).to_numpy()[w.row[start]].astype(np.int64)
-                held.append((route, content, doc, [text[a:b] for a, b in zip(at[start].tolist(), ends.tolist(), strict=True)]))
-                held_bytes += len(text)
-            if held_bytes >= GATHER_BYTES:
-                yield from flush()
-                held, held_bytes = [], 0
-    yield from flush()
-
-
-def _in_bucket(payloads: list[bytes], numbers: list[int], window: int) -> tuple[list[int], list[int], list[list[int]]]:
-    """Route, content hash and the first document of each window, of runs that hold a repeated window."""
-    open_ = zstandard.ZstdDecompressor()
-    heads, texts = [], []
-    for payload, n in zip(payloads, numbers, strict=True):
-        raw = open_.decompress(payload)
-        head = np.frombuffer(raw, U, 5 * n).reshape(5, n)
-        ends = np.cumsum(head[4].astype(np.int64)) + 40 * n
-        texts += [raw[b - k : b] for b, k in zip(ends.tolist(), head[4].astype(np.int64).tolist(), strict=True)]
-        heads.append(head[:4])
-    route, content, low, high = np.concatenate(heads, axis=1)
-    low, high = low.astype(np.int64), high.astype(np.int64)
+            out[0].append(int(bucket[own[0]]))
+            out[1].append(len(own))
+            out[2].append(_payload(press, low[own], high[own], alone[pick[own]], [texts[k] for k in pick[own]]))
+    return pa.table({"bucket": pa.array(out[0], pa.int64()), "part": pa.array([group] * len(out[0]), pa.int64()), "n": pa.array(out[1], pa.int32()), "payload": pa.array(out[2], pa.binary())})
+
+
+def _sort_bucket(table: pa.Table, window: int) -> pa.Table:
+    """For each group of documents, its runs that hold a repeated window, and the first document of each window."""
+    heads, texts, routes, contents, groups = [], [], [], [], []
+    for payload, n, group in zip(table["payload"].to_pylist(), table["n"].to_pylist(), table["part"].to_pylist(), strict=True):
+        head, own = _opened(payload, n)
+        route, content = _described(words(pa.array(own, pa.binary()).cast(pa.large_string())), head[2] > 0)
+        texts += own
+        heads.append(head[:2])
+        routes.append(route)
+        contents.append(content)
+        groups.append(np.full(n, group, np.int64))
+    low, high = np.concatenate(heads, axis=1)
+    high = low + high
+    route, content, group = (np.concatenate(x) for x in (routes, contents, groups))
     order = np.lexsort((content, route))
-    r, c = route[order], content[order]
-    new = np.ones(len(r), bool)
-    new[1:] = (r[1:] != r[:-1]) | (c[1:] != c[:-1])
-    begin = np.flatnonzero(new)
-    low, high = np.minimum.reduceat(low[order], begin), np.maximum.reduceat(high[order], begin)
-    r, c, pick = r[begin], c[begin], order[begin]
-    edges = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
-    lowest, highest = np.minimum.reduceat(low, edges), np.maximum.reduceat(high, edges)
-    edges = np.append(edges, len(r))
-    out: tuple[list, list, list] = ([], [], [])
-    for g in np.flatnonzero(lowest < highest):
-        own = range(edges[g], edges[g + 1])
-        windows = []
-        firsts = {}
-        for k in own:
-            text = texts[pick[k]].split(b" ")
+    r, c, low, high, group = route[order], content[order], low[order], high[order], group[order]
+    same_route = np.append(True, r[1:] != r[:-1])
+    begin = np.flatnonzero(same_route | np.append(True, c[1:] != c[:-1]))
+    lowest, highest = np.minimum.reduceat(low, begin), np.maximum.reduceat(high, begin)
+    ends = np.append(begin[1:], len(r))
+    edges = np.flatnonzero(same_route[begin])
+    shared = np.flatnonzero(np.minimum.reduceat(lowest, edges) < np.maximum.reduceat(highest, edges))
+    edges = np.append(edges, len(begin))
+    out: tuple[list, list, list, list] = ([], [], [], [])
+    for g in shared.tolist():
+        windows, firsts = [], {}
+        for k in range(edges[g], edges[g + 1]):
+            text = texts[order[begin[k]]].split(b" ")
             count = len(text) - window + 1
             firsts[k] = [0] * count
-            windows += [(b" ".join(text[j : j + window]), int(low[k]), k, j) for j in range(count)]
+            doc = int(lowest[k])
+            windows += [(b" ".join(text[j : j + window]), doc, k, j) for j in range(count)]
         windows.sort()
         before, first = None, 0
         for key, doc, k, j in windows:
             if key != before:
                 before, first = key, doc
             firsts[k][j] = first
-        for k in own:
-            if min(firsts[k]) < high[k]:
-                out[0].append(int(r[k].astype(np.int64)))
-                out[1].append(int(c[k].astype(np.int64)))
-                out[2].append(firsts[k])
-    return out
-
-
-def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """Windows that also start in a document with a smaller id: id, ``text_hash``, ``starts`` (word numbers)."""
-    docs = docs.select(id_col, text_col)
-    hot, size = _heavy(docs, text_col, window)
-    buckets = max(1, size // BUCKET_BYTES)
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _to_buckets(batches, id_col, text_col, window, hot, buckets)
-
-    def sort_bucket(table: pa.Table) -> pa.Table:
-        route, content, firsts = _in_bucket(table["payload"].to_pylist(), table["n"].to_pylist(), window)
-        return pa.table({"route": pa.array(route, pa.int64()), "content": pa.array(content, pa.int64()), "firsts": pa.array(firsts, pa.list_(pa.int64()))})
-
-    shared = docs.mapInArrow(send, "bucket long, n int, payload binary").groupBy("bucket").applyInArrow(sort_bucket, "route long, content long, firsts array<long>")
-
-    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, text_col):
-                w = words(part.column(text_col))
-                start, _, route, content = runs(w, window, hot)
-                row = w.row[start]
-                place = (start - w.first[row]).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc").take(pa.array(row)), part.column("th").take(pa.array(row)), pa.array(place), pa.array(route.astype(np.int64)), pa.array(content.astype(np.int64))],
-                    names=["doc", "th", "place", "route", "content"],
-                )
-
-    keyed = docs.select(F.col(id_col).cast("long").alias("doc"), F.hash(text_col).alias("th"), text_col).filter(F.col(id_col).isNotNull())
-    own = keyed.mapInArrow(occurrences, "doc long, th int, place long, route long, content long")
-    # the text's hash and the place share a column: rows of a shuffle have eight bytes for each
-    own = own.select("doc", (F.shiftleft(F.col("place"), 32) + F.col("th").bitwiseAND(F.lit(0xFFFFFFFF))).alias("at"), "route", "content")
-    hits = own.join(shared, ["route", "content"]).select(
-        "doc",
-        F.expr("cast(at & 4294967295 as long)").alias("th"),
-        F.expr("filter(transform(firsts, (x, i) -> if(x < doc, cast(shiftright(at, 32) + i as int), -1)), x -> x >= 0)").alias("starts"),
-    )
-    return hits.filter(F.size("starts") > 0).groupBy("doc", "th").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+        for k, own in firsts.items():
+            least = min(own)
+            for i in range(begin[k], ends[k]):
+                if least < high[i]:
+                    out[0].append(int(group[i]))
+                    out[1].append(int(r[i].astype(np.int64)))
+                    out[2].append(int(c[i].astype(np.int64)))
+                    out[3].append(own)
+    return pa.table({"part": pa.array(out[0], pa.int64()), "route": pa.array(out[1], pa.int64()), "content": pa.array(out[2], pa.int64()), "firsts": pa.array(out[3], pa.list_(pa.int64()))})
+
+
+def _covered(w: Words, docs: np.ndarray, known: np.ndarray, window: int, hot: np.ndarray, found: dict[str, np.ndarray]) -> np.ndarray:
+    """Which words of these texts lie in a window that a smaller document has."""
+    cover = np.zeros(len(w.starts) + 1, np.int64)
+    start, number, route, content = runs(w, window, hot)
+    if len(start) and len(found["key"]):
+        key = mix(route) + content
+        at = np.searchsorted(found["key"], key)
+        at[at == len(found["key"])] = 0
+        hit = (found["key"][at] == key) & (found["route"][at] == route) & known[w.row[start]]
+        start, number, at = start[hit], number[hit], at[hit]
+        first = found["firsts"][ragged(found["begin"][at], number)]
+        place = ragged(start, number)
+        place = place[first < np.repeat(docs[w.row[start]], number)]
+        cover += np.bincount(place, minlength=len(cover)) - np.bincount(np.minimum(place + window, len(cover) - 1), minlength=len(cover))
+    return np.cumsum(cover)[:-1] > 0
+
+
+def _rewrite(docs: pa.Table, shared: pa.Table, window: int, hot: np.ndarray, id_col: str) -> pa.Table:
+    """Documents of a group without the covered words."""
+    lists = shared["firsts"].combine_chunks()
+    route, content = (shared[c].to_numpy().astype(np.int64).astype(U) for c in ("route", "content"))
+    key = mix(route) + content
+    order = np.argsort(key, kind="stable")
+    found = {"key": key[order], "route": route[order], "begin": lists.offsets.to_numpy()[:-1][order], "firsts": lists.values.to_numpy().astype(np.int64)}
+    out = []
+    for part in docs.combine_chunks().to_batches(max_chunksize=256):
+        w = words(unpack(part.column("packed")))
+        ids = part.column("doc")
+        gone = _covered(w, ids.fill_null(0).to_numpy().astype(np.int64), ids.is_valid().to_numpy(zero_copy_only=False), window, hot, found)
+        removed = np.bincount(w.row[gone], minlength=part.num_rows)
+        text, at = w.joined()
+        pieces = []
+        for r in range(part.num_rows):
+            a, b = int(w.first[r]), int(w.first[r + 1])
+            if not removed[r]:
+                pieces.append(text[at[a] : max(at[a], at[b] - 1)])
+            else:
+                pieces.append(b" ".join([text[at[j] : at[j + 1] - 1] for j in (np.flatnonzero(~gone[a:b]) + a).tolist()]))
+        out.append(
+            pa.table(
+                {
+                    id_col: ids, "kept_text": pa.array([p.decode() for p in pieces], pa.string()), "n_words": pa.array(np.diff(w.first).astype(np.int64)),
+                    "n_removed": pa.array(removed.astype(np.int64)), "kept_sha256": pa.array([hashlib.sha256(p).hexdigest() for p in pieces], pa.string()),
+                }
+            )
+        )
+    schema = pa.schema([(id_col, pa.int64()), ("kept_text", pa.string()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
+    return pa.concat_tables(out) if out else schema.empty_table()
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """Each document without the words that such windows cover: id, ``kept_text``, ``n_words``, ``n_removed``, ``kept_sha256``."""
-    found = repeated_windows(docs, id_col, text_col, window)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.hash(text_col).alias("th32"), F.col(text_col).alias("body"))
-    rows = pack_text(rows, "body").withColumn("th", F.col("th32").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
-    joined = rows.join(found, ["doc", "th"], "left").select("doc", "packed", "starts")
-
-    def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                part = batch.slice(k, 256)
-                w = words(unpack(part.column("packed")))
-                starts = part.column("starts")
-                row = np.repeat(np.arange(len(starts)), np.diff(starts.offsets.to_numpy()))
-                places = starts.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                if len(row) != len(places):  # null lists may span values
-                    row = np.repeat(np.arange(len(starts)), [0 if x is None else len(x) for x in starts.to_pylist()])
-                cover = np.zeros(len(w.starts) + 1, np.int64)
-                first = places + w.first[row]
-                np.add.at(cover, first, 1)
-                np.add.at(cover, first + window, -1)
-                gone = np.cumsum(cover)[:-1] > 0
-                total = np.diff(w.first)
-                removed = np.bincount(w.row[gone], minlength=len(starts))
-                text, at = w.joined()
-                pieces = []
-                for r in range(len(starts)):
-                    a, b = w.first[r], w.first[r + 1]
-                    if not removed[r]:
-                        pieces.append(text[at[a] : max(at[a], at[b] - 1)])
-                    else:
-                        pieces.append(b" ".join([text[at[j] : at[j + 1] - 1] for j in (np.flatnonzero(~gone[a:b]) + a).tolist()]))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc"), pa.array([p.decode() for p in pieces], pa.string()), pa.array(total.astype(np.int64)), pa.array(removed.astype(np.int64)),
-                        pa.array([hashlib.sha256(p).hexdigest() for p in pieces], pa.string()),
-                    ],
-                    names=[id_col, "kept_text", "n_words", "n_removed", "kept_sha256"],
-                )
-
-    return joined.mapInArrow(rewrite, f"`{id_col}` long, kept_text string, n_words long, n_removed long, kept_sha256 string")
+    """Each document without the words that repeated windows cover: id, ``kept_text``, ``n_words``, ``n_removed``, ``kept_sha256``."""
+    hot, size = _heavy(docs.select(text_col), text_col, window)
+    buckets, groups = max(1, size // BUCKET_BYTES), max(1, size // GROUP_BYTES)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("body"))
+    rows = pack_text(rows.withColumn("part", F.pmod(F.xxhash64("doc", "body"), F.lit(groups))), "body")
+    # both uses of the groups share one exchange
+    sent = rows.groupBy("part").applyInArrow(lambda table: _send(table, window, hot, buckets), "bucket long, part long, n int, payload binary")
+    shared = sent.groupBy("bucket").applyInArrow(lambda table: _sort_bucket(table, window), "part long, route long, content long, firsts array<long>")
+    schema = f"`{id_col}` long, kept_text string, n_words long, n_removed long, kept_sha256 string"
+    return rows.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(lambda own, found: _rewrite(own, found, window, hot, id_col), schema)
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
