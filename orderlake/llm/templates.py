@@ -45,7 +45,11 @@ BROADCAST = 2_000_000
 
 PLAIN, NUMBER, UNIT, NAME = range(4)
 
-NUMBERS = regex.compile(r"[\p{Sc}#+-]?\d[\d.,:/]*(?:%|st|nd|rd|th)?$|(?:zero|one|two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|twenty|thirty|forty|fifty|hundred|thousand|million)$")
+NUMBERS = regex.compile(r"[\p{Sc}#+-]?\d[\d.,:/]*(?:%|st|nd|rd|th)?$")
+NUMBER_WORDS = frozenset("zero one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand million".split())
+#: Outer punctuation: all but letters and digits, a currency sign in front and a percent sign at the end.
+OUTER = regex.compile(r"^[^\p{L}\p{N}\p{Sc}]+|[^\p{L}\p{N}%]+$")
+MARKS = ".,;:!?\"'()[]{}<>*#&|/\\-_=+~^@`"
 UNITS = frozenset(
     """mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams kilogram kilograms ounce ounces pound pounds ton tons
     ml l liter liters litre litres gallon gallons second seconds minute minutes hour hours day days week weeks month months year years
@@ -58,11 +62,25 @@ U = np.uint64
 HITS = "doc long, th int, rid long, place int, hash long, form int, slots array<struct<kind:int,value:string>>"
 
 
+def _core(t: str) -> str:
+    """A word without its outer punctuation; letters between common marks need no pattern."""
+    if t.isalpha():
+        return t
+    s = t.strip(MARKS)
+    return s if s.isalpha() or not s else OUTER.sub("", t)
+
+
+def _kind(c: str) -> int:
+    if c.isalpha():
+        return NUMBER if c in NUMBER_WORDS else UNIT if c in UNITS else PLAIN
+    return NUMBER if NUMBERS.match(c) else PLAIN
+
+
 def _kinds(own: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     """Core, kind, capital and end of sentence of each distinct word."""
-    cores = [regex.sub(r"^[^\p{L}\p{N}\p{Sc}]+|[^\p{L}\p{N}%]+$", "", t) for t in own]
+    cores = [_core(t) for t in own]
     lowered = [c.lower() for c in cores]
-    kind = np.array([NUMBER if NUMBERS.match(c) else UNIT if c in UNITS else PLAIN for c in lowered], np.int8)
+    kind = np.array([_kind(c) for c in lowered], np.int8)
     capital = np.array([c[:1].isupper() for c in cores], bool)
     stop = np.array([t.endswith(STOPS) for t in own], bool)
     return lowered, kind, capital, stop
