@@ -35,27 +35,31 @@ MARKS = r"^[ \t]*((?:>[ \t]?)+)"
 ANNOUNCES = r"^(on|am|le|el)[ ,].*(wrote|schrieb|écrit|escribió).*:$"
 
 
+def _let(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` worked out once: a projection of its own could be inlined at every use."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
 def _parts(rows: DataFrame, text_col: str) -> DataFrame:
-    """Adds ``own_text`` and ``runs`` (level, text, lines) to each row."""
+    """Adds ``own_text``, ``runs`` (level, lines), ``n_quoted`` and ``quote_depth`` to each row."""
     marks = MARKS.replace("\\", "\\\\")
-    lines = F.expr(
-        f"""transform(split(coalesce({text_col}, ''), '\\r?\\n', -1), l -> named_struct(
-            'level', length(regexp_extract(l, '{marks}', 1)) - length(replace(regexp_extract(l, '{marks}', 1), '>', '')),
-            'raw', l,
-            'norm', lower(trim(regexp_replace(regexp_replace(l, '{marks}', ''), '[ \\t\\r]+', ' ')))))"""
-    )
-    quiet = F.expr(f"transform(q_lines, (x, i) -> if(x.level = 0 and coalesce(get(q_lines, i + 1).level, 0) > 0 and x.norm rlike '{ANNOUNCES}', named_struct('level', -1, 'raw', x.raw, 'norm', x.norm), x))")
-    begins = F.expr(
-        """filter(sequence(0, size(q_lines) - 1), i -> i = 0 or q_lines[i].level <> q_lines[i - 1].level
-            or q_lines[i].norm = '' or q_lines[i - 1].norm = '')"""
-    )
-    runs = F.expr(
-        """filter(transform(q_begins, (b, k) -> named_struct('level', q_lines[b].level, 'lines',
-            transform(slice(q_lines, b + 1, coalesce(get(q_begins, k + 1), size(q_lines)) - b), x -> x.norm))),
-            r -> r.level >= 0 and r.lines[0] <> '')"""
+    line = _let(
+        f"regexp_extract(l, '{marks}', 1)", "m",
+        "named_struct('level', length(m) - length(replace(m, '>', '')), 'raw', l, 'norm', lower(trim(regexp_replace(if(m = '', l, substr(ltrim(' \\t', l), length(m) + 1)), '[ \\t\\r]+', ' '))))",
+    )
+    lines = f"transform(split(coalesce({text_col}, ''), '\\r?\\n', -1), l -> {line})"
+    quiet = f"""transform(p, (x, i) -> if(x.level = 0 and coalesce(get(p, i + 1).level, 0) > 0 and x.norm rlike '{ANNOUNCES}',
+        named_struct('level', -1, 'raw', x.raw, 'norm', x.norm), x))"""
+    begins = """filter(sequence(0, size(q) - 1), i -> i = 0 or q[i].level <> q[i - 1].level or q[i].norm = '' or q[i - 1].norm = '')"""
+    runs = """filter(transform(b, (s, k) -> named_struct('level', q[s].level, 'lines', transform(slice(q, s + 1, coalesce(get(b, k + 1), size(q)) - s), x -> x.norm))),
+        r -> r.level >= 0 and r.lines[0] <> '')"""
+    own = "regexp_replace(array_join(transform(filter(q, x -> x.level = 0), x -> x.raw), '\\n'), '^[ \\t\\r\\n]+|[ \\t\\r\\n]+$', '')"
+    found = f"""named_struct('runs', r, 'own', {own}, 'quoted', cast(size(filter(r, x -> x.level > 0)) as long),
+        'deep', cast(coalesce(array_max(transform(r, x -> x.level)), 0) as long))"""
+    whole = _let(lines, "p", _let(quiet, "q", _let(begins, "b", _let(runs, "r", found))))
+    return rows.withColumn("parsed", F.expr(whole)).select(
+        *[c for c in rows.columns if c != text_col], F.col("parsed.runs").alias("runs"), F.col("parsed.own").alias("own_text"), F.col("parsed.quoted").alias("n_quoted"), F.col("parsed.deep").alias("quote_depth")
     )
-    own = F.expr("regexp_replace(array_join(transform(filter(q_lines, x -> x.level = 0), x -> x.raw), '\\n'), '^[ \\t\\r\\n]+|[ \\t\\r\\n]+$', '')")
-    return rows.withColumn("q_lines", lines).withColumn("q_lines", quiet).withColumn("q_begins", begins).withColumn("runs", runs).withColumn("own_text", own).drop("q_lines", "q_begins")
 
 
 def _units(parts: DataFrame) -> DataFrame:
@@ -109,9 +113,7 @@ def link_quotations(rows: DataFrame, conv_col: str = "conv_id", turn_col: str =
         .select(
             F.col("conv").alias(conv_col), F.col("turn").alias(turn_col), F.col("role").alias(role_col), "own_text",
             F.concat(F.lit("<|"), F.coalesce("role", F.lit("")), F.lit("|>\n"), F.col("own_text")).alias("formatted"),
-            F.expr("cast(size(filter(runs, r -> r.level > 0)) as long)").alias("n_quoted"),
-            F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"),
-            F.expr("cast(coalesce(array_max(transform(runs, r -> r.level)), 0) as long)").alias("quote_depth"),
+            "n_quoted", F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"), "quote_depth",
             F.col("up").alias("reply_to"), F.coalesce("top", "turn").alias("thread_turn"), F.coalesce("depth", F.lit(0)).cast("long").alias("depth"),
         )
         .orderBy(conv_col, "thread_turn", turn_col)
