@@ -95,24 +95,30 @@ def check_names(checks: Sequence[DataQualityCheck] = SILVER_ORDER_CHECKS) -> lis
 def add_duplicate_flag(df: DataFrame, keys: Sequence[str] = ("order_id",), flag: str = DUPLICATE_FLAG) -> DataFrame:
     """Flag every row whose key occurs more than once (NULL keys form one group).
 
-    Counting is a ``groupBy`` (combined map-side before the shuffle), joined back
-    null-safely. A window count would pull a hot key's rows into one task; the join
-    lets adaptive execution split a skewed partition of the big side instead.
+    Counting is a ``groupBy`` (combined map-side before the shuffle); only keys seen
+    more than once are joined back, null-safely. A window count would pull a hot key's
+    rows into one task; the join lets adaptive execution split a skewed partition of the
+    big side, or broadcast the keys by their measured size.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__key_rows"))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__key_rows")).filter(F.col("__key_rows") > 1)
     counts = counts.select(*[F.col(k).alias(f"__dup_{k}") for k in keys], "__key_rows")
     on = None
     for k in keys:
         cond = F.col(k).eqNullSafe(F.col(f"__dup_{k}"))
         on = cond if on is None else on & cond
-    joined = df.join(counts, on, "inner")
-    return joined.select(*df.columns, (F.col("__key_rows") > F.lit(1)).alias(flag))
+    joined = df.join(counts, on, "left")
+    return joined.select(*df.columns, F.col("__key_rows").isNotNull().alias(flag))
 
 
 def uses_duplicate_flag(check: DataQualityCheck, flag: str = DUPLICATE_FLAG) -> bool:
     return flag in check.failure_expression
 
 
+def counts_duplicates(check: DataQualityCheck, flag: str = DUPLICATE_FLAG) -> bool:
+    """Does the check fail for exactly the flagged rows? Then key counts answer it."""
+    return " ".join(check.failure_expression.lower().split()) in (flag, f"{flag} = true")
+
+
 def quality_results(
     df: DataFrame,
     checks: Sequence[DataQualityCheck] = SILVER_ORDER_CHECKS,
@@ -130,6 +136,8 @@ def quality_results(
 
     Empty input gives ``total_count = 0``, status ``pass`` and rate 0.0.
     """
+    if duplicate_keys is not None and any(uses_duplicate_flag(c) and not counts_duplicates(c) for c in checks):
+        df, duplicate_keys = add_duplicate_flag(df, duplicate_keys), None  # the flag is part of a larger predicate
     if duplicate_keys is None:
         failed = [F.count_if(F.expr(c.failure_expression)).alias(f"__f{i}") for i, c in enumerate(checks)]
         counts = df.agg(*failed, F.count(F.lit(1)).alias("__total"))

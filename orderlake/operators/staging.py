@@ -23,6 +23,8 @@ TIEBREAK = (
     ("event_time", "asc"),
     ("invoice_no", "asc"),
     ("order_id", "asc"),
+    ("source_file", "desc"),
+    ("bronze_batch_id", "desc"),
 )
 
 

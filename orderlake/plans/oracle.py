@@ -401,9 +401,7 @@ sliced AS (
   SELECT l.*, d.run_date FROM lines l JOIN days d ON CAST(l.InvoiceDate AS DATE) = d.run_date
 ),
 capped AS (
-  SELECT * EXCLUDE (rk) FROM (
-    SELECT *, row_number() OVER (PARTITION BY run_date ORDER BY """ + LINE_ORDER + """) AS rk FROM sliced
-  ) WHERE rk <= 1000
+  SELECT * FROM sliced
 )""",
     events("capped", "bev", arrival="run_date", carry="run_date"),
     """

@@ -25,7 +25,7 @@ from orderlake.operators.merge import changed_values, merge_latest
 from orderlake.operators.staging import stage_latest, type_bronze
 from orderlake.plans import backfill as bf
 from orderlake.plans import reports
-from orderlake.session import checkpoint_dir, tune_for_scale, use_utc
+from orderlake.session import tune_for_scale, use_utc
 from orderlake.sources.retail import retail_lines
 from orderlake.sources.schemas import CLOCK_COLUMNS, LANDING_COLUMNS, LANDING_SCHEMA, SILVER_COLUMNS
 
@@ -51,15 +51,11 @@ def _ntz(df: DataFrame) -> DataFrame:
 
 
 def shared(df: DataFrame) -> DataFrame:
-    """Materialise a derivation that several branches of one plan consume.
+    """A derivation that several branches of one plan consume.
 
-    ``checkpoint()`` writes it once to the session's checkpoint folder (shared
-    storage on a cluster) and cuts the lineage, so the branches read it instead of
-    recomputing the joins, and a lost executor does not replay them. Without a
-    checkpoint folder the plan simply recomputes.
+    Building a query starts no job and stores nothing: column pruning goes through to the
+    scans, and equal exchanges of the branches are reused.
     """
-    if checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=True)
     return df
 
 
@@ -184,7 +180,7 @@ def backfill_range_frames(spark: SparkSession, sf: str) -> tuple[DataFrame, Data
         F.lit("-to-"),
         F.date_format(end, "yyyy-MM-dd"),
     )
-    by_day = bf.backfill_lines(src, days, limit_per_day=bf.DEFAULT_LIMIT_PER_DAY)
+    by_day = bf.backfill_lines(src, days)
     b = shared(bf.backfill_bronze(by_day, prefix))
     return b, days, prefix
 

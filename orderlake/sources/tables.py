@@ -180,6 +180,13 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(hpath, True))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Is there a file or folder at ``path``?"""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+
+
 def publish(spark: SparkSession, lake: Lake, catalog_prefix: str = "") -> DataFrame:
     """K8: register the layer tables in the catalog as EXTERNAL tables over their paths.
 

@@ -44,23 +44,27 @@ def start_bronze_stream(
     """Start the ingest. ``available_now`` processes what has landed, then stops.
 
     The checkpoint lives under the lake root (shared storage) unless given. A
-    micro-batch that is retried after a failure re-appends its rows to Bronze
-    (Bronze is append-only by design); the Silver merge is idempotent.
+    micro-batch that is retried after a failure finds its batch id in Bronze and does
+    not append again; the Silver merge is idempotent. Epochs are padded in batch ids,
+    so their text order is their order.
     """
     from orderlake.plans import jobs  # local import: jobs imports the batch layer
 
     ckpt = checkpoint or lake.path("_checkpoints/bronze_stream")
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        batch_id = f"{run_prefix}-bronze-{epoch_id}"
+        batch_id = f"{run_prefix}-bronze-{epoch_id:010d}"
         # One ingest clock per micro-batch, so the Bronze append and the staged
         # Silver rows (two evaluations of the batch) carry the same value.
         clock = F.lit(jobs._now()).cast("timestamp")
         bronze = prepare_bronze(batch, batch_id=batch_id, source_file=F.col("__file"), ingested_at=clock).drop("__file")
-        T.append(bronze, lake.bronze_orders, lake.format, partition_by="event_date")
+        session = batch.sparkSession
+        known = T.table_exists(session, lake.bronze_orders, lake.format) and not T.read_table(session, lake.bronze_orders, lake.format).filter(F.col("batch_id") == batch_id).isEmpty()
+        if not known:
+            T.append(bronze, lake.bronze_orders, lake.format, partition_by="event_date")
         if merge_into_silver:
             staged = stage_latest(bronze, keys=keys)
-            jobs.merge_silver(batch.sparkSession, lake, f"{run_prefix}-silver-{epoch_id}", keys=keys, staged=staged)
+            jobs.merge_silver(batch.sparkSession, lake, f"{run_prefix}-silver-{epoch_id:010d}", keys=keys, staged=staged)
 
     writer = landing_stream(spark, lake.landing).writeStream.foreachBatch(per_batch).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
