@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 UTC = "UTC"
@@ -45,9 +43,10 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
-    target = fallback or tempfile.mkdtemp(prefix="orderlake-ckpt-")
-    spark.sparkContext.setCheckpointDir(target)
-    return target
+    if not fallback:
+        raise ValueError("set spark.checkpoint.dir, or pass a folder that driver and executors share")
+    spark.sparkContext.setCheckpointDir(fallback)
+    return fallback
 
 
 def local_session(app: str = "orderlake", cores: str = "*", partitions: int = 8) -> SparkSession:
