@@ -8,18 +8,24 @@ from pyspark.sql import functions as F
 from orderlake.llm.storage import cut
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Every node has one edge at most and no root has one: all edges are (node, root)."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("root")).unionByName(edges.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("root")))
+    seen = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("root").alias("root"))
+    return seen.filter((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("root") > 0))).isEmpty()
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node`` and ``root``, the smallest node it reaches, for every node that has an edge.
 
     Large star: every node's larger neighbours move to its smallest one. Small star: a node and its
     smaller neighbours move to the smallest of them. The two alternate, in a number of rounds that
-    grows with the logarithm of the input, until nothing changes; then every edge is (node, root).
-    Minima are aggregated before the shuffle and joins are many to one, so a node with very many
-    neighbours doesn't gather them in a task.
+    grows with the logarithm of the input, until every edge is (node, root); edges that are so from
+    the start, or none, take no round. Minima are aggregated before the shuffle and joins are many to
+    one, so a node with very many neighbours doesn't gather them in a task.
     """
     now = cut(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct())
-    state = None
-    while True:
+    while not _settled(now):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -27,7 +33,4 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).distinct()
         # a node whose smaller neighbours moved keeps its own edge to the smallest of them
         now = cut(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
-        found = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if found == state:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        state = found
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
