@@ -43,6 +43,8 @@ from orderlake.llm.words import mix, multipliers, sequence_hash, slices, words
 MISS = 1e-6
 #: Documents of a block outside the largest component, and of the rest.
 OUTSIDE, MEMBERS = 256, 2048
+#: Bytes of compressed texts opened at once.
+FRAMES = 1 << 18
 #: Distinct shingles compared at once in a block.
 COLUMNS = 4096
 
@@ -79,6 +81,18 @@ def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     return row[new], value[new]
 
 
+def packed_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """``shingle_sets`` of compressed texts, opened a few at a time."""
+    batch = pa.RecordBatch.from_arrays([column], names=["packed"])
+    rows, values, at = [np.zeros(0, np.int64)], [np.zeros(0, U)], 0
+    for part in slices(batch, "packed", most=FRAMES):
+        row, value = shingle_sets(unpack(part.column("packed")), k)
+        rows.append(row + at)
+        values.append(value)
+        at += part.num_rows
+    return np.concatenate(rows), np.concatenate(values)
+
+
 def sketches(row: np.ndarray, value: np.ndarray, rows: int, t: int) -> np.ndarray:
     """rows x t coordinates; rows without elements stay at the largest number."""
     out = np.full((rows, t), np.iinfo(U).max, U)
@@ -137,9 +151,8 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                a, b = (shingle_sets(unpack(part.column(c)), k) for c in ("text_a", "text_b"))
+            for part in slices(batch, "text_a", "text_b", most=FRAMES):
+                a, b = (packed_sets(part.column(c), k) for c in ("text_a", "text_b"))
                 n = part.num_rows
                 both = _overlap(*a, *b, n)
                 union = np.bincount(a[0], minlength=n) + np.bincount(b[0], minlength=n) - both
@@ -156,7 +169,7 @@ def _block_links(table: pa.Table, k: int, percent: int) -> pa.Table:
     none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
     if not n or not m:
         return none
-    sets = [shingle_sets(unpack(t["packed"].combine_chunks()), k) for t in (outside, members)]
+    sets = [packed_sets(t["packed"].combine_chunks(), k) for t in (outside, members)]
     size = [np.bincount(r, minlength=c) for (r, _), c in zip(sets, (n, m), strict=True)]
     common = np.intersect1d(sets[0][1], sets[1][1])
     both = np.zeros((n, m), np.float32)

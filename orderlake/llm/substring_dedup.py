@@ -104,7 +104,7 @@ def _heavy(docs: DataFrame, text_col: str, window: int) -> tuple[np.ndarray, int
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text_col, GROUP_BYTES):
+            for part in slices(batch, text_col, most=GROUP_BYTES):
                 w = words(part.column(text_col))
                 _, _, route, _ = runs(w, window, np.zeros(0, U))
                 m, k = np.unique(route, return_counts=True)

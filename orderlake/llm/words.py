@@ -23,6 +23,9 @@ LOWER[65:91] += 32
 
 U = np.uint64
 
+#: Elements hashed at once, so that the arrays in between stay small.
+CHUNK = 1 << 17
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64: a bijection on 64-bit integers."""
@@ -64,10 +67,17 @@ def sequence_hash(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray, s
     if not len(starts):
         return np.zeros(0, U)
     lengths = np.asarray(lengths, dtype=np.int64)
-    rank = ragged(np.zeros(len(lengths), np.int64), lengths)
     table = multipliers(int(lengths.max()) or 1, seed)
-    terms = values[ragged(starts, lengths)].astype(U) * table[rank]
-    return mix(group_sums(terms, lengths) + lengths.astype(U))
+    total = np.concatenate(([0], np.cumsum(lengths)))
+    out = np.empty(len(starts), U)
+    begin = 0
+    while begin < len(starts):
+        end = max(begin + 1, int(np.searchsorted(total, total[begin] + CHUNK, side="right")) - 1)
+        size = lengths[begin:end]
+        terms = values[ragged(starts[begin:end], size)].astype(U) * table[ragged(np.zeros(end - begin, np.int64), size)]
+        out[begin:end] = mix(group_sums(terms, size) + size.astype(U))
+        begin = end
+    return out
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -125,10 +135,9 @@ def words(column: pa.Array, lower: bool = False) -> Words:
     return Words(data, starts, np.flatnonzero(ends) + 1, row, first)
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    """Pieces of a batch with about ``most`` bytes of text each (one row at least)."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    total = np.cumsum(sizes)
+def slices(batch: pa.RecordBatch, *columns: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """Pieces of a batch with about ``most`` bytes of these columns each (one row at least)."""
+    total = np.cumsum(sum(pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns))
     begin = 0
     while begin < batch.num_rows:
         done = total[begin - 1] if begin else 0
