@@ -1,7 +1,7 @@
 """Classify every Bronze arrival as ``new``, ``correction`` or ``replay`` per key.
 
-Ingest order is: batch (``batch_col``, sortable), then ``updated_at`` ascending
-inside a batch, then the payload. Per key, the first row is ``new``; a later row is
+Ingest order is: batch by its ingest clock (``ingested_at``, where the rows have it),
+then by name; inside a batch ``updated_at`` ascending, then the payload. Per key, the first row is ``new``; a later row is
 a ``correction`` when its ``updated_at`` is strictly greater than every earlier
 row's, else a ``replay``. ``is_late`` marks rows whose update date is after their
 business date.
@@ -50,23 +50,28 @@ def classify_changes(
     for k in keys:
         valid = valid & F.col(k).isNotNull()
 
-    rows = df.select(*keys, batch_col, seq_ts.alias("__u"), "event_date", *detail).filter(
+    clock = F.col("ingested_at") if "ingested_at" in df.columns else F.lit(None).cast("timestamp")
+    rows = df.select(*keys, batch_col, seq_ts.alias("__u"), "event_date", *detail, clock.alias("__clock")).filter(
         F.col("__u").isNotNull() & valid
     )
     kb = [*keys, batch_col]
     kbu = [*kb, "__u"]
 
-    distinct_rows = rows.groupBy(*kbu, "event_date", *detail).agg(F.count(F.lit(1)).alias("__copies"))
+    distinct_rows = rows.groupBy(*kbu, "event_date", *detail).agg(
+        F.count(F.lit(1)).alias("__copies"), F.min("__clock").alias("__clock")
+    )
 
     # Both summaries come from the collapsed rows (copies already merged map-side).
-    per_batch = distinct_rows.groupBy(*kb).agg(F.max("__u").alias("__bmax"), F.min("__u").alias("__bmin"))
+    per_batch = distinct_rows.groupBy(*kb).agg(
+        F.max("__u").alias("__bmax"), F.min("__u").alias("__bmin"), F.min("__clock").alias("__bclock")
+    )
     by_key = Window.partitionBy(*keys)
     per_batch = per_batch.withColumns(
         {
             "__prior_max": F.max("__bmax").over(
-                by_key.orderBy(batch_col).rowsBetween(Window.unboundedPreceding, -1)
+                by_key.orderBy("__bclock", batch_col).rowsBetween(Window.unboundedPreceding, -1)
             ),
-            "__first_batch": F.min(batch_col).over(by_key),
+            "__first_batch": F.min(F.struct("__bclock", batch_col)).over(by_key)[batch_col],
         }
     )
 

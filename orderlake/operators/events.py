@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.functions import cleaning as C
-from orderlake.sources.schemas import LANDING_COLUMNS
 
 
 def to_order_events(
@@ -55,6 +54,3 @@ def to_order_events(
         F.lit(C.SOURCE_SYSTEM).alias("source_system"),
         *[F.col(c) for c in keep],
     )
-
-
-__all__ = ["to_order_events", "LANDING_COLUMNS"]

@@ -12,8 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-GOLD_TABLES = ("daily_sales", "product_performance", "country_revenue", "order_status_summary", "pipeline_health")
-
 
 def _clock(df: DataFrame, with_clock: bool) -> DataFrame:
     return df.withColumn("gold_updated_at", F.current_timestamp()) if with_clock else df

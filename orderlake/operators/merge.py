@@ -14,10 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The merge predicates as the reference states them.
-MERGE_CONDITION = "target.order_id = source.order_id"
-MATCHED_UPDATE_CONDITION = "source.updated_at > target.updated_at"
-
 ACTION_COL = "_merge_action"
 
 

@@ -428,7 +428,7 @@ def oracle_sql() -> dict[str, str]:
     q["landing_events"] = _with(LINES, events("lines", "ev")) + f"\nSELECT {', '.join(LANDING)}, line_no FROM ev"
     q["line_key"] = _with(LINES, events("lines", "ev")) + (
         "\nSELECT order_id, count(*) AS line_count, count(DISTINCT line_no) AS distinct_lines "
-        "FROM ev GROUP BY order_id HAVING count(*) > 1"
+        "FROM ev GROUP BY order_id"
     )
     q["clean_strings"] = _with(LINES, FAULTY) + (
         f"\nSELECT {_clean('InvoiceNo')} AS InvoiceNo, {_clean('StockCode')} AS StockCode, "

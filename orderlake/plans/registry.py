@@ -201,7 +201,6 @@ def q_line_key(spark, sf):
     return (
         ev.groupBy("order_id")
         .agg(F.count(F.lit(1)).alias("line_count"), F.count_distinct("line_no").alias("distinct_lines"))
-        .filter(F.col("line_count") > 1)
     )
 
 

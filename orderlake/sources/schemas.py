@@ -166,6 +166,4 @@ DQ_RESULT_SCHEMA = StructType(
     ]
 )
 
-REJECT_EXTRA_COLUMNS = ["run_id", "check_name", "severity", "rejected_at"]
-
 HEALTH_COLUMNS = ["pipeline_step", "last_run_at", "last_status", "last_message"]

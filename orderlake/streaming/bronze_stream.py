@@ -52,7 +52,7 @@ def start_bronze_stream(
     ckpt = checkpoint or lake.path("_checkpoints/bronze_stream")
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        batch_id = f"{run_prefix}-bronze-{epoch_id}"
+        batch_id = f"{run_prefix}-bronze-{epoch_id:012d}"
         # One ingest clock per micro-batch, so the Bronze append and the staged
         # Silver rows (two evaluations of the batch) carry the same value.
         clock = F.lit(jobs._now()).cast("timestamp")

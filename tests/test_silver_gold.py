@@ -106,3 +106,12 @@ def test_change_classes_fixture_b(spark, batches):
             ("D", "b2", -2, "new", False, 1),
         ]
     )
+
+
+def test_change_order_follows_the_ingest_clock(spark):
+    """Batch names do not sort like their numbers; the ingest clock decides."""
+    cols = "order_id string, batch_id string, updated_at string, event_date string, ingested_at string, quantity int"
+    rows = [("A", f"stream-bronze-{n}", f"2024-01-0{d}T00:00:00Z", "2024-01-01", f"2024-02-{d:02d} 00:00:00", q) for n, d, q in ((2, 2, 1), (10, 3, 2))]
+    df = spark.createDataFrame(rows, cols).withColumn("ingested_at", F.to_timestamp("ingested_at")).withColumn("event_date", F.to_date("event_date"))
+    got = {r.batch_id: r.change_class for r in classify_changes(df).collect()}
+    assert got == {"stream-bronze-2": "new", "stream-bronze-10": "correction"}
