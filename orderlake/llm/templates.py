@@ -10,7 +10,8 @@ question with other numbers or names passes, a text that merely has the same fra
 does not.
 
 A document is contaminated by an item if consistent matches cover half of the item's windows or
-``RUN`` windows in a row's worth of them. Items of fewer words than a window are matched as one window
+``RUN`` windows in a row's worth of them. Over all diagonals each window of the item counts once, and each
+of the document, so a phrase that either repeats is not counted for each repetition. Items of fewer words than a window are matched as one window
 of their own length; items of fewer than ``LEAST`` words are too short to tell and are not searched.
 Template windows need ``LITERAL`` words besides slots (half of a shorter item).
 
@@ -217,10 +218,13 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     # slot by slot: (kind, the item's value, the document's value)
     met = F.expr("transform(arrays_zip(item_slots, slots), x -> struct(x.item_slots.kind as kind, x.item_slots.value as own, x.slots.value as other))")
     lines = pairs.groupBy("doc", "th", "item", "diagonal", "form").agg(
-        F.countDistinct("item_place").alias("windows"), F.max("total").alias("total"), F.array_distinct(F.flatten(F.collect_set(met))).alias("met")
+        F.collect_set("item_place").alias("places"), F.max("total").alias("total"), F.array_distinct(F.flatten(F.collect_set(met))).alias("met")
     )
     consistent = F.expr("size(array_distinct(transform(met, x -> struct(x.kind, x.own)))) = size(met) and size(array_distinct(transform(met, x -> struct(x.kind, x.other)))) = size(met)")
-    lines = lines.filter(consistent).groupBy("doc", "th", "item", "form").agg(F.sum("windows").alias("windows"), F.max("windows").alias("line"), F.max("total").alias("total"))
+    lines = lines.filter(consistent).select("doc", "th", "item", "form", "diagonal", "total", F.size("places").alias("line"), F.explode("places").alias("own"))
+    # a place counts once, the item's as well as the document's, on however many diagonals it lies
+    lines = lines.withColumn("other", F.col("own") + F.col("diagonal")).groupBy("doc", "th", "item", "form")
+    lines = lines.agg(F.least(F.countDistinct("own"), F.countDistinct("other")).alias("windows"), F.max("line").alias("line"), F.max("total").alias("total"))
     enough = (2 * F.col("windows") >= F.col("total")) | (F.col("line") >= RUN)
     return lines.filter(enough).groupBy("doc", "th", "item").agg(F.max("windows").alias("windows"), F.max("total").alias("total"))
 

@@ -1,0 +1,30 @@
+"""Cases of the review of the second round: what the operators have to find, and what they must leave."""
+
+from __future__ import annotations
+
+import pytest
+
+from orderlake.llm import templates
+from orderlake.llm.ship import ship
+
+SCHEMA = "doc_id long, text string, lang string, doc int, th string"
+
+
+@pytest.fixture(scope="module")
+def sent(spark):
+    ship(spark)
+    return spark
+
+
+def flags(spark, rows, items):
+    docs = spark.createDataFrame([(i, t, "en", 1, "x") for i, t in rows], SCHEMA)
+    got = templates.decontaminate(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    return sorted(((r["doc_id"], r["contaminated"]) for r in got), key=repr)
+
+
+def test_repeated_windows_count_once(sent):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron"
+    phrase = " ".join(item.split()[:8])
+    cycle = " ".join(["red green blue white black grey pink brown"] * 4)
+    rows = [(1, "\n".join(f"{phrase} other words number{k} follow" for k in range(4))), (2, f"before {item} after"), (3, "so red green blue white black grey pink brown end"), (4, f"so {cycle} end")]
+    assert flags(sent, rows, [(1, item), (2, cycle)]) == [(1, False), (2, True), (3, False), (4, True)]
