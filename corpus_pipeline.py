@@ -4,8 +4,8 @@ Each stage reads all that its predecessor kept and is written as Parquet to the
 
 1. Language identification learns from the labelled documents; documents it rejects go (no letter, or a
    calibrated score below the bound).
-2. Near duplicates (five-word shingles, Jaccard similarity of 0.8): the smallest id of each group stays,
-   and one of equal rows.
+2. Near duplicates (five-word shingles, Jaccard similarity of 0.8): the smallest id of each group stays
+   with its text, and one of equal rows; texts of one id are judged each by its own.
 3. Documents that hold an item of the benchmark, also with other numbers or names, go.
 4. Personal data is replaced by surrogates; ``n_chars`` follows the text.
 5. Documents are packed into sequences of at most 2048 ids.
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.llm.language_id import fit, identify
-from orderlake.llm.near_dedup import near_duplicates
+from orderlake.llm.near_dedup import drop_near_duplicates
 from orderlake.llm.packing import pack
 from orderlake.llm.ship import ship
 from orderlake.llm.storage import new_folder
@@ -42,12 +42,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    gone = near_duplicates(docs, shingle=5, percent=80).filter("not kept").select("doc_id", F.lit("gone").alias("near_mark"))
-    twice = docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select("doc_id", F.lit("twice").alias("near_mark"))
-    marks = gone.unionByName(twice).groupBy("doc_id").agg(F.min("near_mark").alias("near_mark"))
-    marked = docs.join(marks, "doc_id", "left")
-    once = marked.filter("near_mark is null").select(*docs.columns)
-    return once.unionByName(marked.filter("near_mark = 'twice'").dropDuplicates(["doc_id", "text"]).select(*docs.columns))
+    return drop_near_duplicates(docs, shingle=5, percent=80)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,7 +69,8 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", packing),
 ]
 
-#: The stages train a model and verify sets; SQL cannot express them. Tests hold them against brute force.
+#: The stages train a model and verify sets; SQL cannot express them. Tests hold near duplicates against
+#: brute force and the other stages against planted rows.
 ORACLE_SQL = None
 
 

@@ -132,7 +132,7 @@ def _described(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
                     names=["doc", "th", "n", "d1", "d2", "keys"],
                 )
 
-    return docs.mapInArrow(run, "doc long, th int, n long, d1 long, d2 long, keys array<long>")
+    return docs.mapInArrow(run, "doc long, th long, n long, d1 long, d2 long, keys array<long>")
 
 
 def _overlap(row_a: np.ndarray, a: np.ndarray, row_b: np.ndarray, b: np.ndarray, rows: int) -> np.ndarray:
@@ -194,20 +194,22 @@ def _block_links(table: pa.Table, k: int, percent: int) -> pa.Table:
     return pa.table({"a": pa.array(ca[i[one]]), "b": pa.array(cb[j[one]])})
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
-    """Id, size of the set, ``component_id`` (smallest id reachable by links) and whether it is that id."""
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
+    """``doc``, ``th`` (hash of the text) and ``n`` of every row, and ``least``, the smallest id of its component with its ``th``."""
     bands, rows = bands_for(percent)
-    body = docs.select(F.col(id_col).cast("long").alias("doc"), F.hash(text_col).alias("th"), F.col(text_col).alias("body"))
+    body = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("body"))
     described = cut(_described(body, shingle, bands, rows))
     known = described.filter("n > 0 and doc is not null")
-    sets = cut(known.groupBy("d1", "d2").agg(F.min(F.struct("doc", "th")).alias("one"), F.first("keys").alias("keys")).select("d1", "d2", F.col("one.doc").alias("node"), F.col("one.th").alias("th"), "keys"))
+    # a node is a set, not an id: an id may have several texts
+    sets = known.groupBy("d1", "d2").agg(F.min(F.struct("doc", "th")).alias("one"), F.first("keys").alias("keys"))
+    sets = cut(sets.select("d1", "d2", F.monotonically_increasing_id().alias("node"), "one", "keys"))
 
     spread = sets.select("node", F.explode("keys").alias("key"))
     least = spread.groupBy("key").agg(F.min("node").alias("lead"), F.count("*").alias("size")).filter("size > 1").drop("size")
     buckets = cut(spread.join(least, "key").select("key", "node", "lead"))
 
-    wanted = buckets.select("node").distinct().join(sets.select("node", "th"), "node").withColumnRenamed("node", "doc")
-    texts = cut(pack_text(body.filter("doc is not null"), "body").join(wanted, ["doc", "th"]).select(F.col("doc").alias("node"), "packed").dropDuplicates(["node", "packed"]))
+    wanted = buckets.select("node").distinct().join(sets, "node").select("node", F.col("one.doc").alias("doc"), F.col("one.th").alias("th"))
+    texts = cut(pack_text(body.filter("doc is not null"), "body").join(wanted, ["doc", "th"]).select("node", "packed").dropDuplicates(["node", "packed"]))
 
     pairs = buckets.filter("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
     first = components(_confirmed(pairs, texts, shingle, percent))
@@ -233,15 +235,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     alone = second.filter("root <> last").join(first.select(F.col("node").alias("root")), "root", "left_anti").select(F.col("root").alias("node"), F.col("last").alias("root"))
     roots = roots.unionByName(alone)
 
-    groups = sets.join(roots, "node", "left").select("d1", "d2", F.coalesce("root", "node").alias("component"))
+    linked = roots.join(sets.select("node", "one"), "node")
+    least = linked.groupBy("root").agg(F.min("one").alias("least"))
+    linked = linked.join(least, "root").select("node", "least")
+    groups = sets.join(linked, "node", "left").select("d1", "d2", F.coalesce("least", "one").alias("least"))
+    return described.join(groups, ["d1", "d2"], "left").select("doc", "th", "n", F.when((F.col("n") > 0) & F.col("doc").isNotNull(), F.col("least")).alias("least"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
+    """Id, size of the set, ``component_id`` (smallest id reachable by links) and whether it is that id."""
     return (
-        described.join(groups, ["d1", "d2"], "left")
-        .select(
-            F.col("doc").alias(id_col), F.col("n").alias("n_shingles"),
-            F.when((F.col("n") > 0) & F.col("doc").isNotNull(), F.col("component")).otherwise(F.col("doc")).alias("component_id"),
-        )
+        _grouped(docs, id_col, text_col, shingle, percent)
+        .select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("least.doc", "doc").alias("component_id"))
         .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
-    )
+    )
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of one text of each component, that of the smallest id; of equal ids and texts one row."""
+    grouped = _grouped(docs, id_col, text_col, shingle, percent)
+    rows = grouped.groupBy("doc", "th").agg(F.count("*").alias("rows"), F.min("least").alias("least"))
+    gone = F.col("least").isNotNull() & ~(F.col("least.doc").eqNullSafe(F.col("doc")) & (F.col("least.th") == F.col("th")))
+    twice = (F.col("rows") > 1) & F.col("doc").isNotNull()
+    marks = rows.select(F.col("doc").alias("near_doc"), F.col("th").alias("near_th"), F.when(gone, "gone").when(twice, "twice").alias("near_mark")).filter("near_mark is not null")
+    marked = docs.join(marks, F.col(id_col).cast("long").eqNullSafe(F.col("near_doc")) & (F.xxhash64(text_col) == F.col("near_th")), "left")
+    once = marked.filter("near_mark is null").select(*docs.columns)
+    return once.unionByName(marked.filter("near_mark = 'twice'").dropDuplicates([id_col, text_col]).select(*docs.columns))
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

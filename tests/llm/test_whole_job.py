@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 
+import corpus_pipeline
 from orderlake.llm import templates
+from orderlake.llm.near_dedup import near_duplicates
 from orderlake.llm.ship import ship
 
 SCHEMA = "doc_id long, text string, lang string, doc int, th string"
@@ -28,3 +32,45 @@ def test_repeated_windows_count_once(sent):
     cycle = " ".join(["red green blue white black grey pink brown"] * 4)
     rows = [(1, "\n".join(f"{phrase} other words number{k} follow" for k in range(4))), (2, f"before {item} after"), (3, "so red green blue white black grey pink brown end"), (4, f"so {cycle} end")]
     assert flags(sent, rows, [(1, item), (2, cycle)]) == [(1, False), (2, True), (3, False), (4, True)]
+
+
+def survivors(rows, k=5, percent=80):
+    """Rows that near_dedup keeps, by all pairs of texts."""
+    sets = {}
+    for _, t in rows:
+        w = t.lower().split()
+        sets[t] = {tuple(w[j : j + k]) for j in range(len(w) - k + 1)} or {tuple(w)}
+    up = {t: t for t in sets}
+
+    def root(x):
+        return x if up[x] == x else root(up[x])
+
+    texts = list(sets)
+    for n, a in enumerate(texts):
+        for b in texts[:n]:
+            both = len(sets[a] & sets[b])
+            if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                up[root(a)] = root(b)
+    groups = {}
+    for i, t in set(rows):
+        groups.setdefault(root(t), []).append((i is None, i or 0, t))
+    return groups
+
+
+def test_near_dedup_of_ids_with_many_texts(sent):
+    draw = random.Random(4)
+    text = lambda n=80: " ".join(f"w{draw.randrange(5000)}" for _ in range(n))
+    near = lambda t: " ".join([*t.split()[:-1], f"z{draw.randrange(5000)}"])
+    hot = [text() for _ in range(60)]
+    rows = [(7, t) for t in hot] + [(7, hot[0])] * 3
+    rows += [(1, hot[0]), (2, near(hot[1])), (90, near(hot[1])), (91, hot[5]), (7, near(hot[9])), (8, text()), (8, near(hot[12])), (8, text())]
+    docs = sent.createDataFrame([(i, t, "en", 1, "x") for i, t in rows], SCHEMA)
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_dedup(sent, docs, "").collect()]
+    groups = survivors(rows)
+    assert len(got) == len(set(got)) == len(groups)
+    for members in groups.values():
+        kept = [m for m in members if (m[1], m[2]) in got]
+        assert len(kept) == 1 and kept[0][1] == min(members)[1]
+    # texts joined by nothing but an id are no group
+    parts = {r["component_id"] for r in near_duplicates(docs.filter("doc_id = 7 or doc_id > 89"), shingle=5).collect()}
+    assert parts == {7} and (1, hot[0]) in got and (2, rows[64][1]) in got
