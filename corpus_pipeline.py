@@ -10,7 +10,8 @@ Each stage reads all that its predecessor kept and is written as Parquet to the
 4. Personal data is replaced by surrogates; ``n_chars`` follows the text.
 5. Documents are packed into sequences of at most 2048 ids.
 
-Null texts and texts without a letter go at the first stage; a null id keeps its row to the end. An empty
+Null texts and texts without a letter go at the first stage; rows with a null id are
+searched, and removed or kept, like others. An empty
 table passes all stages.
 """
 
@@ -48,7 +49,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc", "th").distinct()
-    return docs.join(found, (F.col("doc_id") == F.col("doc")) & (F.hash("text") == F.col("th")), "left_anti")
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("doc")) & (F.xxhash64("text") == F.col("th")), "left_anti")
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

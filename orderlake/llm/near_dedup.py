@@ -20,7 +20,7 @@ Chance of missing a pair at the similarity itself: ``MISS`` at most by the choic
 Defined results: null, empty and blank texts have no shingles, are linked with nothing and kept; a
 null id is linked with nothing and kept, with a null component; repeated rows give equal rows; rows
 of one id with different texts are judged each by its own text; no rows, no result. Other columns are
-not read.
+not read. ``drop_near_duplicates`` compares rows with null ids as well and prefers any id to null.
 """
 
 from __future__ import annotations
@@ -194,22 +194,23 @@ def _block_links(table: pa.Table, k: int, percent: int) -> pa.Table:
     return pa.table({"a": pa.array(ca[i[one]]), "b": pa.array(cb[j[one]])})
 
 
-def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, null_ids: bool = False) -> DataFrame:
     """``doc``, ``th`` (hash of the text) and ``n`` of every row, and ``least``, the smallest id of its component with its ``th``."""
     bands, rows = bands_for(percent)
     body = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("body"))
     described = cut(_described(body, shingle, bands, rows))
-    known = described.filter("n > 0 and doc is not null")
+    known = described.filter("n > 0" if null_ids else "n > 0 and doc is not null")
     # a node is a set, not an id: an id may have several texts
-    sets = known.groupBy("d1", "d2").agg(F.min(F.struct("doc", "th")).alias("one"), F.first("keys").alias("keys"))
+    sets = known.groupBy("d1", "d2").agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "th")).alias("one"), F.first("keys").alias("keys"))
     sets = cut(sets.select("d1", "d2", F.monotonically_increasing_id().alias("node"), "one", "keys"))
 
     spread = sets.select("node", F.explode("keys").alias("key"))
     least = spread.groupBy("key").agg(F.min("node").alias("lead"), F.count("*").alias("size")).filter("size > 1").drop("size")
     buckets = cut(spread.join(least, "key").select("key", "node", "lead"))
 
-    wanted = buckets.select("node").distinct().join(sets, "node").select("node", F.col("one.doc").alias("doc"), F.col("one.th").alias("th"))
-    texts = cut(pack_text(body.filter("doc is not null"), "body").join(wanted, ["doc", "th"]).select("node", "packed").dropDuplicates(["node", "packed"]))
+    wanted = buckets.select("node").distinct().join(sets, "node").select("node", F.col("one.doc").alias("own_doc"), F.col("one.th").alias("own_th"))
+    searched = body.filter("body is not null" if null_ids else "doc is not null")
+    texts = cut(pack_text(searched, "body").join(wanted, F.col("doc").eqNullSafe(F.col("own_doc")) & (F.col("th") == F.col("own_th"))).select("node", "packed").dropDuplicates(["node", "packed"]))
 
     pairs = buckets.filter("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
     first = components(_confirmed(pairs, texts, shingle, percent))
@@ -239,7 +240,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
     least = linked.groupBy("root").agg(F.min("one").alias("least"))
     linked = linked.join(least, "root").select("node", "least")
     groups = sets.join(linked, "node", "left").select("d1", "d2", F.coalesce("least", "one").alias("least"))
-    return described.join(groups, ["d1", "d2"], "left").select("doc", "th", "n", F.when((F.col("n") > 0) & F.col("doc").isNotNull(), F.col("least")).alias("least"))
+    return described.join(groups, ["d1", "d2"], "left").select("doc", "th", "n", F.when((F.col("n") > 0) & (F.lit(null_ids) | F.col("doc").isNotNull()), F.col("least")).alias("least"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -252,11 +253,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of one text of each component, that of the smallest id; of equal ids and texts one row."""
-    grouped = _grouped(docs, id_col, text_col, shingle, percent)
+    """The rows of one text of each component, that of the smallest id (null is the largest); of equal ids and texts one row."""
+    grouped = _grouped(docs, id_col, text_col, shingle, percent, null_ids=True)
     rows = grouped.groupBy("doc", "th").agg(F.count("*").alias("rows"), F.min("least").alias("least"))
     gone = F.col("least").isNotNull() & ~(F.col("least.doc").eqNullSafe(F.col("doc")) & (F.col("least.th") == F.col("th")))
-    twice = (F.col("rows") > 1) & F.col("doc").isNotNull()
+    twice = (F.col("rows") > 1) & (F.col("doc").isNotNull() | F.col("least").isNotNull())
     marks = rows.select(F.col("doc").alias("near_doc"), F.col("th").alias("near_th"), F.when(gone, "gone").when(twice, "twice").alias("near_mark")).filter("near_mark is not null")
     marked = docs.join(marks, F.col(id_col).cast("long").eqNullSafe(F.col("near_doc")) & (F.xxhash64(text_col) == F.col("near_th")), "left")
     once = marked.filter("near_mark is null").select(*docs.columns)

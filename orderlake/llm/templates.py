@@ -18,7 +18,8 @@ Template windows need ``LITERAL`` words besides slots (half of a shorter item).
 The hashes of the benchmark's windows are broadcast to filter the documents' windows in the tasks that
 read them, if they are at most ``BROADCAST`` (16 MB); beyond that all windows go to the join.
 
-Defined results: null and empty texts match nothing; a null id keeps its row; repeated rows give equal
+Defined results: null and empty texts match nothing; a null id keeps its row,
+which is searched like others; repeated rows give equal
 rows; rows of one id with different texts are judged each by its own text; no rows, no result; an empty
 benchmark leaves everything clean. Other columns are not read.
 """
@@ -60,7 +61,7 @@ UNITS = frozenset(
 STOPS = (".", "!", "?", ":", ".\"", ".'", ".)", "!\"", "?\"", "…")
 
 U = np.uint64
-HITS = "doc long, th int, rid long, place int, hash long, form int, slots array<struct<kind:int,value:string>>"
+HITS = "doc long, th long, rid long, place int, hash long, form int, slots array<struct<kind:int,value:string>>"
 
 
 def _core(t: str) -> str:
@@ -171,7 +172,7 @@ def _item_windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Matches: id, ``text_hash``, ``item``, number of consistent windows and of the item's windows."""
+    """Matches: ``doc``, ``th`` (id and hash of the text), ``item``, number of consistent windows and of the item's windows."""
     known = cut(_item_windows(items, item_id, item_text).dropDuplicates(["item", "item_place", "hash", "form"]))
     sizes = sorted(r["size"] for r in known.select("size").distinct().collect())
     few = known.select("hash").distinct()
@@ -210,7 +211,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                     names=["doc", "th", "place", "hash", "form", "slots"],
                 )
 
-    body = docs.select(F.col(id_col).cast("long").alias("doc"), F.hash(text_col).alias("th"), F.col(text_col).alias("body")).filter("doc is not null")
+    body = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("body")).filter("body is not null")
     if not sizes:
         body = body.limit(0)
     hits = body.mapInArrow(run, HITS.replace("rid long, ", ""))
@@ -233,8 +234,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     """Id, whether the document is ``contaminated``, and the ``items`` it holds."""
     found = contamination(docs, items, id_col, text_col, item_id, item_text)
     found = found.groupBy("doc", "th").agg(F.array_sort(F.collect_set("item")).alias("items"))  # as many as the benchmark has
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.hash(text_col).alias("th"))
-    return rows.join(found, ["doc", "th"], "left").select(F.col("doc").alias(id_col), F.col("items").isNotNull().alias("contaminated"), F.coalesce("items", F.array().cast("array<long>")).alias("items"))
+    found = found.withColumnsRenamed({"doc": "own_doc", "th": "own_th"})
+    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("th"))
+    return rows.join(found, F.col("doc").eqNullSafe(F.col("own_doc")) & (F.col("th") == F.col("own_th")), "left").select(F.col("doc").alias(id_col), F.col("items").isNotNull().alias("contaminated"), F.coalesce("items", F.array().cast("array<long>")).alias("items"))
 
 
 def op10_templates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,3 +74,15 @@ def test_near_dedup_of_ids_with_many_texts(sent):
     # texts joined by nothing but an id are no group
     parts = {r["component_id"] for r in near_duplicates(docs.filter("doc_id = 7 or doc_id > 89"), shingle=5).collect()}
     assert parts == {7} and (1, hot[0]) in got and (2, rows[64][1]) in got
+
+
+def test_null_ids_are_searched(sent):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron"
+    clean = " ".join(f"clean{k}" for k in range(30))
+    rows = [(None, f"before {item} after"), (None, clean), (5, f"before {item} after"), (5, clean), (None, None)]
+    assert flags(sent, rows, [(1, item)]) == [(5, False), (5, True), (None, False), (None, False), (None, True)]
+    alone = " ".join(f"alone{k}" for k in range(30))
+    docs = sent.createDataFrame([(i, t, "en", 1, "x") for i, t in [*rows, (None, alone), (None, alone), (None, alone + " end"), (None, clean + " end")]], SCHEMA)
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_dedup(sent, docs, "").collect()]
+    assert (5, clean) in got and (5, rows[0][1]) in got and (None, None) in got
+    assert len(got) == 4 and len([t for i, t in got if i is None and t and t.startswith("alone")]) == 1
