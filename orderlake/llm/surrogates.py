@@ -3,7 +3,7 @@
 Patterns find e-mail addresses, telephone numbers, IPv4 addresses, social security numbers, IBANs, card
 and account numbers, secrets (access keys, hexadecimal tokens after a name) and persons' names after a
 title. Each entity has a canonical form, so that mentions in other spellings stay one entity: letters
-without case, numbers without separators; given and family names stand apart, so that "Mrs. Ann Lee" and
+without case, numbers without separators and in ASCII digits; given and family names stand apart, so that "Mrs. Ann Lee" and
 "Mrs. Lee" keep one family name.
 
 A surrogate is drawn with a keyed hash of type, canonical form and attempt: digits become digits, letters
@@ -14,7 +14,8 @@ already, or that is itself an entity of the data, draws again, until all are dis
 entities keep different surrogates and no surrogate is a real value. Every mention is then written in its
 own format: case and separators stay.
 
-Only documents with a digit, ``@`` or title are scanned and joined; all others pass.
+Only documents with a digit of any script, ``@``, a title or the beginning of a secret are scanned and
+joined; all others hold nothing that the patterns find and pass.
 
 Defined results: null and empty texts stay; a null id keeps its row, and its entities are replaced too;
 repeated rows give equal rows; no rows, no result. Other columns stay as they are; columns that the
@@ -49,8 +50,9 @@ FEMALE = "Mrs Ms Miss Frau Señora Sra Doña Madame Mme Mlle".split()
 NEUTRAL = "Dr Prof Professor Doctor".split()
 
 _TITLES = "|".join(sorted(MALE + FEMALE + NEUTRAL, key=len, reverse=True))
-#: What a document must have to hold any entity.
-CANDIDATE = rf"[0-9@]|(?:^|[^\p{{L}}])(?:{_TITLES})[. ]"
+#: What a document must have to hold any entity: a digit of any script (also one that Java doesn't know yet),
+#: ``@``, a title, or a secret that may be of letters only.
+CANDIDATE = rf"[\p{{Nd}}\p{{Cn}}@]|(?:{_TITLES})[. ]|AKIA|ASIA|[=:][ ]?[\"'][0-9A-Za-z+/_-]{{20}}"
 
 _NAME = r"\p{Lu}[\p{Ll}\p{M}'’-]+"
 PATTERN = regex.compile(
@@ -150,6 +152,11 @@ def surrogate(kind: str, canon: str, attempt: int, key: str = KEY) -> str:
     return f"{gender}|{out}" if gender else out
 
 
+def _ascii(value: str) -> str:
+    """Digits of all scripts as 0-9."""
+    return value if value.isascii() else "".join(str(unicodedata.decimal(c)) if c.isdecimal() else c for c in value)
+
+
 def mentions(text: str) -> list[tuple[int, int, str, str]]:
     """Begin, end, kind and canonical form of every mention, in order."""
     found = []
@@ -161,7 +168,7 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
                 found.append((*m.span("given"), "given", f"{gender}|{m['given'].lower()}"))
             found.append((*m.span("family"), "family", m["family"].lower()))
             continue
-        value = m[kind]
+        value = m[kind] if kind in ("email", "secret", "iban") else _ascii(m[kind])
         if kind == "phone":
             plus = re.match(r"\+\d{1,3}(?=[ .(-])", value)
             head = plus.group() if plus else ""
@@ -178,6 +185,9 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
 
 def written(value: str, kind: str, new: str) -> str:
     """A canonical surrogate in the format of a mention."""
+    if kind in ("card", "ssn", "phone", "ip") and not value.isascii():  # each digit in the script of its place
+        plain = written(_ascii(value), kind, new)
+        return "".join(chr(ord(c) - unicodedata.decimal(c) + int(n)) if c.isdecimal() and n.isdecimal() else n for c, n in zip(value, plain, strict=True))
     if kind in ("ip", "secret"):
         return new
     if kind in ("card", "ssn", "phone", "iban"):
