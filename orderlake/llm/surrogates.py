@@ -4,7 +4,9 @@ Patterns find e-mail addresses, telephone numbers, IPv4 addresses, social securi
 and account numbers, secrets (access keys, hexadecimal tokens after a name) and persons' names after a
 title. Each entity has a canonical form, so that mentions in other spellings stay one entity: letters
 without case, numbers without separators and in ASCII digits; given and family names stand apart, so that "Mrs. Ann Lee" and
-"Mrs. Lee" keep one family name.
+"Mrs. Lee" keep one family name. Every other capitalised mention of such a name in the same document is one
+too, with or without a title. A given name without gender ("Dr. Ann Lee") takes that of its other mentions,
+first of the same full name, then of the document, then of all documents, if they agree.
 
 A surrogate is drawn with a keyed hash of type, canonical form and attempt: digits become digits, letters
 become letters of their script (vowels vowels, consonants consonants in names), lengths stay; octets,
@@ -69,6 +71,12 @@ PATTERN = regex.compile(
     regex.X,
 )
 
+#: A capitalised word, whole, and its parts between apostrophes and hyphens.
+WORD = regex.compile(r"(?<![\p{L}\p{M}\p{N}_])\p{Lu}[\p{L}\p{M}]*(?:['’-][\p{L}\p{M}]+)*(?![\p{L}\p{M}\p{N}_])")
+PART = regex.compile(r"[\p{L}\p{M}]+")
+#: What follows a name and is not part of it.
+ENDING = regex.compile(r"(?:['’][sS]|['’-])$")
+
 _VOWELS = "aeiouy"
 _CONSONANTS = "bcdfghjklmnpqrstvwxz"
 _CYRILLIC = ("аеиоуыэюя", "бвгджзклмнпрстфхцчшщ")
@@ -157,16 +165,74 @@ def _ascii(value: str) -> str:
     return value if value.isascii() else "".join(str(unicodedata.decimal(c)) if c.isdecimal() else c for c in value)
 
 
+def _name(m: regex.Match, group: str, text: str) -> tuple[int, int, str]:
+    """Begin, end and lower-case form of a name, without the ending of a genitive."""
+    a, b = m.span(group)
+    end = ENDING.search(text, a, b)
+    if end and end.start() > a + 1 and not text[b : b + 1].isalpha():
+        b = end.start()
+    return a, b, text[a:b].lower()
+
+
+class _Persons:
+    """Names after titles in one document."""
+
+    def __init__(self):
+        self.given: dict[str, set[str]] = {}
+        self.full: dict[tuple[str, str], set[str]] = {}
+        self.family: set[str] = set()
+
+    def add(self, gender: str, given: str | None, family: str) -> None:
+        self.family.add(family)
+        if given:
+            for known, name in ((self.given, given), (self.full, (given, family))):
+                known.setdefault(name, set()).update({gender} - {"n"})
+
+    def canon(self, given: str, family: str | None) -> str:
+        for known in (self.full.get((given, family), set()), self.given[given]):
+            if len(known) == 1:
+                return f"{min(known)}|{given}"
+        return f"n|{given}"
+
+
+def _untitled(text: str, found: list[tuple[int, int, str, str]], persons: _Persons) -> list[tuple[int, int, str, str]]:
+    """All mentions: those found, and the words between them that are names of the document's persons."""
+    out, at = [], 0
+    for mention in [*found, (len(text), len(text), "", "")]:
+        words = []
+        for m in WORD.finditer(text, at, mention[0]):
+            whole = m.group().lower()
+            if whole in persons.given or whole in persons.family:
+                words.append((*m.span(), whole))
+            else:
+                words += [(*p.span(), p.group().lower()) for p in PART.finditer(text, *m.span()) if p.group()[0].isupper() and (p.group().lower() in persons.given or p.group().lower() in persons.family)]
+        for k, (a, b, name) in enumerate(words):
+            after = words[k + 1] if k + 1 < len(words) and words[k + 1][2] in persons.family and text[b : words[k + 1][0]].isspace() else None
+            if name in persons.given and (after or name not in persons.family):
+                out.append((a, b, "given", persons.canon(name, after[2] if after else None)))
+            else:
+                out.append((a, b, "family", name))
+        out.append(mention)
+        at = mention[1]
+    return out[:-1]
+
+
 def mentions(text: str) -> list[tuple[int, int, str, str]]:
     """Begin, end, kind and canonical form of every mention, in order."""
-    found = []
+    found, persons, titled = [], _Persons(), []
     for m in PATTERN.finditer(text):
         kind = m.lastgroup
         if m["title"]:
             gender = "f" if m["title"] in FEMALE else "m" if m["title"] in MALE else "n"
-            if m["given"]:
-                found.append((*m.span("given"), "given", f"{gender}|{m['given'].lower()}"))
-            found.append((*m.span("family"), "family", m["family"].lower()))
+            family = _name(m, "family", text)
+            given = _name(m, "given", text) if m["given"] else None
+            if given and text[given[1] : m.end("given")].lower().endswith("s"):  # "Mr. Lee's Garden": a genitive ends the name
+                given, family = None, given
+            persons.add(gender, given and given[2], family[2])
+            if given:
+                titled.append((len(found), gender, given[2], family[2]))
+                found.append((*given[:2], "given", f"{gender}|{given[2]}"))
+            found.append((*family[:2], "family", family[2]))
             continue
         value = m[kind] if kind in ("email", "secret", "iban") else _ascii(m[kind])
         if kind == "phone":
@@ -180,7 +246,10 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
         else:
             canon = value if kind in ("secret", "ip") else value.lower()
         found.append((m.start(), m.end(), kind, canon))
-    return found
+    for place, gender, given, family in titled:
+        if gender == "n":
+            found[place] = (*found[place][:3], persons.canon(given, family))
+    return _untitled(text, found, persons) if persons.family else found
 
 
 def written(value: str, kind: str, new: str) -> str:
@@ -231,6 +300,17 @@ def draw_surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
         now = cut(checked.filter("not again").select(*columns).unionByName(redrawn))
 
 
+def _of_one_gender(found: DataFrame, key: str) -> DataFrame:
+    """``draw_surrogates``, but given names without gender share that of all others of the name, if those have one."""
+    entities = cut(found.select("kind", "canon").distinct())
+    gendered = entities.filter("kind = 'given' and canon not like 'n|%'")
+    gendered = gendered.groupBy(F.concat(F.lit("n|"), F.substring_index("canon", "|", -1)).alias("canon")).agg(F.min("canon").alias("same"), F.count("*").alias("genders"))
+    gendered = gendered.filter("genders = 1").select(F.lit("given").alias("kind"), "canon", "same")
+    named = cut(entities.join(gendered, ["kind", "canon"], "left").select("kind", "canon", F.coalesce("same", "canon").alias("same")))
+    table = draw_surrogates(named.select("kind", F.col("same").alias("canon")), key).withColumnRenamed("canon", "same")
+    return named.join(table, ["kind", "same"]).select("kind", "canon", "surrogate")
+
+
 def replace_entities(docs: DataFrame, text_col: str = "text", key: str = KEY) -> DataFrame:
     """All rows and columns with surrogates in the text, and ``pii_entities``, the number of mentions replaced."""
     columns = docs.columns
@@ -245,7 +325,7 @@ def replace_entities(docs: DataFrame, text_col: str = "text", key: str = KEY) ->
 
     text_key = F.md5(F.col(text_col).cast("binary"))
     found = cut(body.select(text_key.alias("pii_hash"), F.col(text_col).alias("pii_text")).mapInArrow(find, "pii_hash string, kind string, canon string").distinct())
-    table = draw_surrogates(found, key)
+    table = _of_one_gender(found, key)
     own = found.join(table, ["kind", "canon"]).groupBy("pii_hash").agg(F.collect_list(F.struct("kind", "canon", "surrogate")).alias("pii_table"))  # what one text holds
     fields = [f for f in docs.schema.fields if f.name != text_col]
 

@@ -100,3 +100,19 @@ def test_every_document_with_an_entity_is_scanned(sent):
     assert got[len(texts)] == ("no entity here", 0)
     assert surrogates.mentions(arabic)[0][3] == surrogates.mentions("Call (212) 555-0100 now")[0][3]
     assert not set("0123456789") & set(got[2][0])
+
+
+def test_names_are_replaced_in_every_mention(sent):
+    text = "Anna came. Mrs. Anna Schmidt met Mr. Paul Lee. Later Anna Schmidt wrote; Schmidt's note, SCHMIDT and Mr. Schmidt's Schmidtberg. Dr. Anna Schmidt (Anna) saw Lee-Schmidt."
+    rows = [(1, text), (2, "Dr. Anna Lee spoke."), (3, "Dr. Kim Lee, then Kim Lee."), (4, "Anna Schmidt and Schmidt have no title here.")]
+    got = {r["doc_id"]: (r["text"], r["pii_entities"]) for r in surrogates.replace_entities(sent.createDataFrame([(i, t, "en", 1, "x") for i, t in rows], SCHEMA)).collect()}
+    new, count = got[1]
+    anna, schmidt = new.split("Mrs. ")[1].split()[:2]
+    lee = new.split("Mr. ")[1].split()[1].rstrip(".")
+    paul = new.split("Mr. ")[1].split()[0]
+    want = text.replace("Schmidtberg", "@").replace("Anna", anna).replace("Schmidt", schmidt).replace("SCHMIDT", schmidt.upper()).replace("Paul", paul).replace("Lee", lee).replace("@", "Schmidtberg")
+    assert new == want and count == 15 and len({"Anna", "Schmidt", "Lee", "Paul", anna, schmidt, lee, paul}) == 8
+    assert got[2][0] == f"Dr. {anna} {lee} spoke." and got[4] == (rows[3][1], 0)
+    kim = got[3][0].split()[1]
+    assert got[3][0] == f"Dr. {kim} {lee}, then {kim} {lee}."
+    assert [m[2:] for m in surrogates.mentions("Mrs. Andrea Rossi, Mr. Andrea Neri: Dr. Andrea Rossi")][4:] == [("given", "f|andrea"), ("family", "rossi")]
