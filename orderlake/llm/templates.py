@@ -2,7 +2,10 @@
 
 Words lose their outer punctuation and their case; words that are punctuation only are skipped. In a
 template, numbers, units after numbers and names (capitalised words inside a sentence) become typed
-slots. Windows of ``WINDOW`` words of the benchmark's items, as templates and as plain words, are
+slots. There are two template forms. In the first, each such word is a slot, and a capitalised word that
+begins a sentence or line is a word like others. In the second, it may be a name too, and words of one kind
+in a row, without a mark between them, are one slot ("New York", "1 200"), so values may be of other lengths;
+it knows number words and units of four languages. Windows of ``WINDOW`` words (slots of the second form) of the benchmark's items, as templates and as plain words, are
 hash-joined to the windows of all documents. The matches of a document and an item that lie on one
 diagonal (equal distance of their places) belong together. Their slots are consistent if each value of
 the item stands for one value of the document everywhere, and different values for different ones; a
@@ -11,7 +14,7 @@ does not.
 
 A document is contaminated by an item if consistent matches cover half of the item's windows or
 ``RUN`` windows in a row's worth of them. Over all diagonals each window of the item counts once, and each
-of the document, so a phrase that either repeats is not counted for each repetition. Items of fewer words than a window are matched as one window
+of the document, so a phrase that either repeats is not counted for each repetition. Items of fewer words (slots) than a window are matched as one window
 of their own length; items of fewer than ``LEAST`` words are too short to tell and are not searched.
 Template windows need ``LITERAL`` words besides slots (half of a shorter item).
 
@@ -46,6 +49,8 @@ RUN = 6
 BROADCAST = 2_000_000
 
 PLAIN, NUMBER, UNIT, NAME = range(4)
+#: Plain words, template of single words, template of folded slots.
+FORMS = (0, 1, 2)
 
 NUMBERS = regex.compile(r"[\p{Sc}#+-]?\d[\d.,:/]*(?:%|st|nd|rd|th)?$")
 NUMBER_WORDS = frozenset("zero one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand million".split())
@@ -60,6 +65,28 @@ UNITS = frozenset(
 #: A word that ends so is followed by the start of a sentence.
 STOPS = (".", "!", "?", ":", ".\"", ".'", ".)", "!\"", "?\"", "…")
 
+#: Number words and units of the second form: English, German, French and Spanish. Articles are none ("un", "ein").
+ONES = "zwei zwo drei vier fünf sechs sieben acht neun".split()
+TENS = "zwanzig dreißig dreissig vierzig fünfzig sechzig siebzig achtzig neunzig".split()
+MORE_NUMBERS = NUMBER_WORDS | frozenset(
+    """thirteen fourteen fifteen sixteen seventeen eighteen nineteen sixty seventy eighty ninety billion dozen
+    null eins zehn elf zwölf dreizehn vierzehn fünfzehn sechzehn siebzehn achtzehn neunzehn hundert tausend million millionen milliarde milliarden dutzend
+    zéro deux trois quatre cinq sept huit neuf dix onze douze treize quatorze quinze seize vingt vingts trente quarante cinquante soixante septante
+    huitante octante nonante cent cents mille millions milliard milliards douzaine
+    cero uno dos tres cuatro cinco seis siete ocho nueve diez once doce trece catorce quince dieciséis diecisiete dieciocho diecinueve veinte
+    veintiuno veintiún veintiuna veintidós veintitrés veinticuatro veinticinco veintiséis veintisiete veintiocho veintinueve treinta cuarenta cincuenta
+    sesenta setenta ochenta noventa cien ciento doscientos trescientos cuatrocientos quinientos seiscientos setecientos ochocientos novecientos
+    doscientas trescientas cuatrocientas quinientas seiscientas setecientas ochocientas novecientas mil millón millones docena""".split()
+) | frozenset(ONES) | frozenset(TENS) | frozenset(f"{one}und{ten}" for one in ["ein", *ONES] for ten in TENS) | frozenset(f"{one}{much}" for one in ["ein", *ONES] for much in ("hundert", "tausend"))
+MORE_UNITS = UNITS | frozenset(
+    """millimeter zentimeter zoll fuß meile meilen gramm kilo kilos pfund unze unzen tonne tonnen milliliter gallonen sekunde sekunden minuten stunde stunden
+    tag tage tagen woche wochen monat monate monaten jahr jahre jahren grad prozent
+    millimètre millimètres centimètre centimètres mètre mètres kilomètre kilomètres pouce pouces pied pieds mille milles gramme grammes kilogramme kilogrammes
+    livre livres once onces tonnes seconde secondes heure heures jour jours semaine semaines mois an ans année années degré degrés centime centimes
+    milímetro milímetros centímetro centímetros metro metros kilómetro kilómetros pulgada pulgadas pie pies milla millas gramo gramos kilogramo kilogramos
+    libra libras onza onzas tonelada toneladas litro litros segundo segundos minuto minutos hora horas día días semana semanas mes meses año años grado grados céntimo céntimos dólar dólares""".split()
+)
+
 U = np.uint64
 HITS = "doc long, th long, rid long, place int, hash long, form int, slots array<struct<kind:int,value:string>>"
 
@@ -78,18 +105,33 @@ def _kind(c: str) -> int:
     return NUMBER if NUMBERS.match(c) else PLAIN
 
 
-def _kinds(own: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Core, kind, capital and end of sentence of each distinct word."""
+def _more(c: str, kind: int) -> int:
+    """The kind in the second form."""
+    if kind != PLAIN:
+        return kind
+    if c.isalpha():
+        return NUMBER if c in MORE_NUMBERS else UNIT if c in MORE_UNITS else PLAIN
+    parts = c.split("-")
+    return NUMBER if len(parts) > 1 and parts[0] in MORE_NUMBERS and all(p in MORE_NUMBERS or p in ("one", "un", "une", "et") for p in parts) else PLAIN
+
+
+def _kinds(own: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Core, kind in the first and second form, capital, end of sentence and mark at the end of each distinct word."""
     cores = [_core(t) for t in own]
     lowered = [c.lower() for c in cores]
     kind = np.array([_kind(c) for c in lowered], np.int8)
     capital = np.array([c[:1].isupper() for c in cores], bool)
     stop = np.array([t.endswith(STOPS) for t in own], bool)
-    return lowered, kind, capital, stop
+    more = np.array([_more(c, k) for c, k in zip(lowered, kind.tolist(), strict=True)], np.int8)
+    marked = np.array([not t[-1:].isalnum() for t in own], bool)
+    return lowered, kind, more, capital, stop, marked
 
 
 class Tokens:
-    """Comparable words of a batch of texts: plain hashes, template hashes, kinds and the words."""
+    """Comparable words of a batch of texts: plain hashes, template hashes, kinds and the words.
+
+    Forms are 0 (plain words), 1 and 2 (templates); ``first[form]`` has the places where texts begin.
+    """
 
     def __init__(self, column: pa.Array):
         w = words(column)
@@ -98,7 +140,7 @@ class Tokens:
         sample[codes[::-1]] = np.arange(len(codes))[::-1]
         text = w.data.tobytes()
         own = [text[a:b].decode() for a, b in zip(w.starts[sample].tolist(), w.ends[sample].tolist(), strict=True)]
-        lowered, kind, capital, stop = _kinds(own)
+        lowered, kind, more, capital, stop, marked = _kinds(own)
         raw = [t.encode() for t in lowered]
         size = np.array([len(r) for r in raw], np.int64)
         flat = np.frombuffer(b"".join(raw), np.uint8)
@@ -112,37 +154,56 @@ class Tokens:
         self.code = codes[full]
         self.row = w.row[full]
         self.words = lowered
-        k = kind[self.code] if len(self.code) else np.zeros(0, np.int8)
-        name = capital[self.code] & ~begins[full] & (k == PLAIN) if len(self.code) else np.zeros(0, bool)
-        after = np.zeros(len(k), bool)
-        after[1:] = (k[:-1] == NUMBER) & (self.row[1:] == self.row[:-1])
-        self.kind = np.where(name, NAME, np.where((k == UNIT) & ~after, PLAIN, k))
-        self.plain = plain[self.code] if len(self.code) else np.zeros(0, U)
-        self.template = np.where(self.kind == PLAIN, self.plain, multipliers(4, 47)[self.kind])
-        self.first = np.searchsorted(self.row, np.arange(len(column) + 1), side="left")
-
-    def windows(self, size: int, rows: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Starts of the windows of this size, and their hashes as plain words and as templates (0: too few words)."""
-        n = len(self.row) - size + 1
+        begins, at = begins[full], np.flatnonzero(full)
+        first_kind, second_kind = (self._placed(k[self.code] if len(self.code) else np.zeros(0, np.int8)) for k in (kind, more))
+        capital = capital[self.code] if len(self.code) else np.zeros(0, bool)
+        first_kind[capital & ~begins & (first_kind == PLAIN) & (kind[self.code] != UNIT if len(self.code) else True)] = NAME
+        second_kind[capital & (second_kind == PLAIN)] = NAME
+        plain = plain[self.code] if len(self.code) else np.zeros(0, U)
+        # the second form's slots: words of one kind in a row, with no mark, line or text between them
+        alone = np.ones(len(plain), bool)
+        if len(plain):
+            alone[1:] = (second_kind[1:] == PLAIN) | (second_kind[1:] != second_kind[:-1]) | (self.row[1:] != self.row[:-1]) | marked[self.code[:-1]] | begins[1:] | (np.diff(at) > 1)
+        self.unit = np.flatnonzero(alone)
+        self.end = np.append(self.unit[1:], len(plain))
+        units = [np.arange(len(plain)), np.arange(len(plain)), self.unit]
+        self.rows = [self.row[u] for u in units]
+        self.kinds = [np.zeros(len(plain), np.int8), first_kind, second_kind[self.unit]]
+        slot = multipliers(4, 47)
+        self.hashes = [plain, np.where(first_kind == PLAIN, plain, slot[first_kind]), np.where(self.kinds[2] == PLAIN, plain[self.unit], slot[self.kinds[2]])]
+        self.first = [np.searchsorted(r, np.arange(len(column) + 1), side="left") for r in self.rows]
+
+    def _placed(self, kind: np.ndarray) -> np.ndarray:
+        """Units that follow no number are plain."""
+        after = np.zeros(len(kind), bool)
+        after[1:] = (kind[:-1] == NUMBER) & (self.row[1:] == self.row[:-1])
+        return np.where((kind == UNIT) & ~after, PLAIN, kind).astype(np.int8)
+
+    def windows(self, form: int, size: int, rows: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Starts of a form's windows of this size, and their hashes (0: too few words)."""
+        row, kind, values = self.rows[form], self.kinds[form], self.hashes[form]
+        n = len(row) - size + 1
         if n <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, U)
-        start = np.flatnonzero(self.row[:n] == self.row[size - 1 :])
+            return np.zeros(0, np.int64), np.zeros(0, U)
+        start = np.flatnonzero(row[:n] == row[size - 1 :])
         if rows is not None:
-            start = start[np.isin(self.row[start], rows)]
+            start = start[np.isin(row[start], rows)]
         m = multipliers(size, 53)
-        hashes = []
-        for values in (self.plain, self.template):
-            h = np.zeros(len(start), U)
-            for j in range(size):
-                h += values[start + j] * m[j]
-            hashes.append(h ^ h >> U(29) ^ U(size))
-        literal = np.concatenate(([0], np.cumsum(self.kind == PLAIN)))
-        few = literal[start + size] - literal[start] < min(LITERAL, (size + 1) // 2)
-        hashes[1][few] = U(0)
-        return start, hashes[0], hashes[1]
-
-    def slots(self, start: int, size: int) -> list[dict]:
-        return [{"kind": int(self.kind[j]), "value": self.words[self.code[j]]} for j in range(start, start + size) if self.kind[j] != PLAIN]
+        h = np.zeros(len(start), U)
+        for j in range(size):
+            h += values[start + j] * m[j]
+        h = h ^ h >> U(29) ^ U(size)
+        if form:
+            literal = np.concatenate(([0], np.cumsum(kind == PLAIN)))
+            h[literal[start + size] - literal[start] < min(LITERAL, (size + 1) // 2)] = U(0)
+        return start, h
+
+    def slots(self, form: int, start: int, size: int) -> list[dict]:
+        if not form:
+            return []
+        if form == 1:
+            return [{"kind": int(self.kinds[1][j]), "value": self.words[self.code[j]]} for j in range(start, start + size) if self.kinds[1][j] != PLAIN]
+        return [{"kind": int(self.kinds[2][j]), "value": " ".join(self.words[c] for c in self.code[self.unit[j] : self.end[j]])} for j in range(start, start + size) if self.kinds[2][j] != PLAIN]
 
 
 def _item_windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -152,17 +213,16 @@ def _item_windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "body"):
                 tokens = Tokens(part.column("body"))
-                count = np.diff(tokens.first)
                 out = []
-                for size in [WINDOW, *range(LEAST, WINDOW)]:
-                    rows = np.flatnonzero(count >= WINDOW) if size == WINDOW else np.flatnonzero(count == size)
-                    start, plain, template = tokens.windows(size, rows)
-                    for s, p, t in zip(start.tolist(), plain.tolist(), template.tolist(), strict=True):
-                        r = int(tokens.row[s])
-                        item, total, place = part.column("item")[r].as_py(), int(count[r]) - size + 1, s - int(tokens.first[r])
-                        for form, h in ((0, p), (1, t)):
+                for form in FORMS:
+                    first = tokens.first[form]
+                    count = np.diff(first)
+                    for size in [WINDOW, *range(LEAST, WINDOW)]:
+                        start, hashes = tokens.windows(form, size, np.flatnonzero(count >= WINDOW) if size == WINDOW else np.flatnonzero(count == size))
+                        for s, h in zip(start.tolist(), hashes.tolist(), strict=True):
+                            r = int(tokens.rows[form][s])
                             if h:
-                                out.append((item, r, total, place, size, int(np.uint64(h).astype(np.int64)), form, tokens.slots(s, size) if form else []))
+                                out.append((part.column("item")[r].as_py(), r, int(count[r]) - size + 1, s - int(first[r]), size, int(np.uint64(h).astype(np.int64)), form, tokens.slots(form, s, size)))
                 names = ["item", "item_row", "total", "item_place", "size", "hash", "form", "item_slots"]
                 kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.struct([("kind", pa.int32()), ("value", pa.string())]))]
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kinds[k]) for k in range(8)], names=names)
@@ -187,8 +247,8 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                 tokens = Tokens(part.column("body"))
                 places, hashes, forms, slots, rows = [], [], [], [], []
                 for size in sizes:
-                    start, plain, template = tokens.windows(size)
-                    for form, h in ((0, plain), (1, template)):
+                    for form in FORMS:
+                        start, h = tokens.windows(form, size)
                         h = h.astype(np.int64)
                         hit = h != 0
                         if wanted is not None and len(wanted):
@@ -196,12 +256,12 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                             at[at == len(wanted)] = 0
                             hit &= wanted[at] == h
                         for s, x in zip(start[hit].tolist(), h[hit].tolist(), strict=True):
-                            r = int(tokens.row[s])
+                            r = int(tokens.rows[form][s])
                             rows.append(r)
-                            places.append(s - int(tokens.first[r]))
+                            places.append(s - int(tokens.first[form][r]))
                             hashes.append(x)
                             forms.append(form)
-                            slots.append(tokens.slots(s, size) if form else [])
+                            slots.append(tokens.slots(form, s, size))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc").take(pa.array(rows, pa.int64())), part.column("th").take(pa.array(rows, pa.int64())),
@@ -227,7 +287,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     lines = lines.withColumn("other", F.col("own") + F.col("diagonal")).groupBy("doc", "th", "item", "form")
     lines = lines.agg(F.least(F.countDistinct("own"), F.countDistinct("other")).alias("windows"), F.max("line").alias("line"), F.max("total").alias("total"))
     enough = (2 * F.col("windows") >= F.col("total")) | (F.col("line") >= RUN)
-    return lines.filter(enough).groupBy("doc", "th", "item").agg(F.max("windows").alias("windows"), F.max("total").alias("total"))
+    return lines.filter(enough).groupBy("doc", "th", "item").agg(F.max(F.struct("windows", "total")).alias("most")).select("doc", "th", "item", "most.*")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:

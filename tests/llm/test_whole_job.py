@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import random
 
 import pytest
@@ -116,3 +117,19 @@ def test_names_are_replaced_in_every_mention(sent):
     kim = got[3][0].split()[1]
     assert got[3][0] == f"Dr. {kim} {lee}, then {kim} {lee}."
     assert [m[2:] for m in surrogates.mentions("Mrs. Andrea Rossi, Mr. Andrea Neri: Dr. Andrea Rossi")][4:] == [("given", "f|andrea"), ("family", "rossi")]
+
+
+def test_slots_at_beginnings_of_other_lengths_and_languages(sent):
+    short = "Anna buys 12 apples. Anna gives 3 apples to Lyon. Anna keeps 5 apples at home. Anna eats 2 of them now."
+    run = "a train leaves the town of Lyon with 12 wagons and comes back to the town of Lyon after 30 km"
+    french = "le train part de la ville avec treize wagons et il arrive après trois heures dans la ville"
+    german = "der Zug nimmt dreizehn wagen und er kommt nach sechzig Stunden wieder an den ort"
+    items = [(1, short), (2, run), (3, french), (4, german)]
+    swap = lambda t, *pairs: functools.reduce(lambda x, p: x.replace(*p), pairs, t)
+    rows = [
+        (1, swap(short, ("Anna", "Bob"), ("12", "7"), ("Lyon", "Nice"))), (2, swap(run, ("Lyon", "New York"), ("12", "1 200"))),
+        (3, swap(french, ("treize", "vingt-deux"), ("trois heures", "quatre jours"))), (4, swap(german, ("dreizehn", "einundzwanzig"), ("sechzig Stunden", "neun Tagen"))),
+        (5, "Anna buys 12 apples. Bob gives 3 apples to Lyon. Carl keeps 5 apples at home. Dora eats 2 of them now.".replace("Anna", "Eva")),
+        (6, swap(run, ("of Lyon with", "of New York with"), ("of Lyon after", "of San Juan after"))), (7, "A plain text. It has nothing in it. Nobody reads it. Then it ends."),
+    ]
+    assert flags(sent, rows, items) == [(1, True), (2, True), (3, True), (4, True), (5, False), (6, False), (7, False)]
