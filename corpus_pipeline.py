@@ -3,7 +3,7 @@
 Each stage reads all that its predecessor kept and is written as Parquet to the shared folder.
 
 1. Language identification learns from the labelled documents; documents it rejects go (no letter, or a
-   calibrated score below the bound).
+   score or a share of known subwords below the bounds for its length).
 2. Near duplicates (five-word shingles, Jaccard similarity of 0.8): the smallest id of each group stays
    with its text, and one of equal rows; texts of one id are judged each by its own.
 3. Documents that hold an item of the benchmark, also with other numbers or names, go.
@@ -38,7 +38,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return identify(docs, fit(docs)).filter("not rejected").select(*docs.columns)
+    rejected = identify(docs, fit(docs))
+    return rejected.filter(~F.col(rejected.columns[-1])).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

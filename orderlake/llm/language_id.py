@@ -5,19 +5,28 @@ lower-cased words, hashed to ``BUCKETS`` rows of an embedding table. Their avera
 softmax. Both layers are trained by stochastic gradient descent in numpy on a bounded sample: at most
 ``PER_LANGUAGE`` labelled documents of each of the ``LANGUAGES`` most frequent labels, each once whole
 and once as a few words in a row, so that short texts are learned too. A fifth of the sample is held
-back to calibrate: one temperature scales the scores, and the score that all but one in
-``REJECT_ONE_IN`` held-back texts reach is the bound below which a prediction counts as rejected.
+back to calibrate: one temperature scales the scores.
+
+A prediction is rejected by either of two bounds that depend on the length of the text. Its score must
+reach what all but one in ``REJECT_ONE_IN`` held-back texts of its class of length (``LENGTHS`` words)
+reach; with fewer of them, that is the smallest. And enough of its subwords of 3 and 4 characters must be
+known from the training texts: their share, averaged over the words, may lie ``SPREAD`` deviations below the median of held-back
+whole texts, where the deviation is that between texts and that between words over the number of words.
+This second bound is an estimate of medians and deviations, so it does not move with the size of the
+sample; it rejects languages that were not learned and strings of letters, which may have any score.
 
 Since averaging and the softmax's input are linear, a prediction sums one row of scores for each word;
 words are worked out once for each batch. Every text is read whole.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0 and rejected; a null
 id counts as not held out; without labelled documents everything is ``und``; repeated rows give equal
-rows; no rows, no result. Label, source and id are never features.
+rows; no rows, no result. Where the input has a column of a result's name, the result's is that with
+``language_id_`` in front. Label, source and id are never features.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,11 +49,47 @@ BATCH = 32
 RATE = 0.5
 SHORT = 12
 REJECT_ONE_IN = 1000
+#: Words at which the classes of length begin.
+LENGTHS = (1, 4, 16)
+SPREAD = 6.0
+#: Least deviations of the share of known subwords, between texts and between words.
+BETWEEN, WITHIN = 0.02, 0.1
+#: Bits of the hashes that mark known subwords.
+KNOWN_BITS = 22
+AROUND = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 SEED = 20
 
 UNKNOWN = "und"
 
 
+def word_subwords(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Bits of the subwords of 3 and 4 characters of all words with a letter, without what is no letter around them, and their words."""
+    own = [n for n, t in enumerate(texts) if any(map(str.isalpha, t))]
+    lowered = ["<" + (texts[n] if texts[n].isalpha() else AROUND.sub("", texts[n])).lower() + ">" for n in own]
+    chars = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    owner = np.repeat(np.array(own, np.int64), np.array([len(t) for t in lowered], np.int64))
+    codes, owners = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for n in (3, 4):
+        if len(chars) < n:
+            break
+        m = multipliers(n, 61 + n)
+        h = np.zeros(len(chars) - n + 1, np.uint64)
+        for j in range(n):
+            h += chars[j : len(chars) - n + 1 + j] * m[j]
+        inside = owner[: len(h)] == owner[n - 1 :]
+        codes.append((mix(h[inside]) >> np.uint64(64 - KNOWN_BITS)).astype(np.int64))
+        owners.append(owner[: len(h)][inside])
+    return np.concatenate(codes), np.concatenate(owners)
+
+
+def known_shares(texts: list[str], known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Share of known subwords of each word, and 1 for words that have any: a long token is one word."""
+    code, who = word_subwords(texts)
+    hit = (known[code >> 3] >> (code & 7).astype(np.uint8) & 1).astype(np.float64)
+    size = np.bincount(who, minlength=len(texts))
+    return np.bincount(who, weights=hit, minlength=len(texts)) / np.maximum(size, 1), (size > 0).astype(np.float64)
+
+
 def word_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all words in a row, and how many each word has."""
     lowered = ["<" + t.lower() + ">" for t in texts]
@@ -80,17 +125,34 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class LanguageModel:
-    """Scores of each bucket for each language, temperature and the bound of rejection."""
+    """Scores of each bucket for each language, temperature, and what bounds rejection."""
 
     languages: list[str]
     table: np.ndarray  # buckets x languages
     bias: np.ndarray
     temperature: float
-    bound: float
+    bounds: np.ndarray  # of scores, for each class of length
+    known: np.ndarray  # bits of the known subwords
+    share: tuple[float, float, float]  # of known subwords: median, deviation between texts, between words
 
     def scores(self, logits: np.ndarray) -> np.ndarray:
         return _softmax((logits + self.bias) / self.temperature)
 
+    def rejects(self, score: np.ndarray, share: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """By score and share of known subwords of texts of so many words."""
+        middle, between, within = self.share
+        least = middle - SPREAD * np.sqrt(between**2 + within**2 / np.maximum(count, 1))
+        return (score < self.bounds[length_class(count)]) | (share < least)
+
+
+def length_class(count: np.ndarray) -> np.ndarray:
+    return np.searchsorted(LENGTHS[1:], count, side="right")
+
+
+def _deviation(x: np.ndarray) -> float:
+    """From the median, so that a few odd texts don't widen it."""
+    return float(1.4826 * np.median(np.abs(x - np.median(x)))) if len(x) else 0.0
+
 
 def train(texts: list[str], labels: list[str]) -> LanguageModel | None:
     """Fit on whole texts and on a few words of each; a fifth calibrates."""
@@ -98,7 +160,7 @@ def train(texts: list[str], labels: list[str]) -> LanguageModel | None:
     if not languages:
         return None
     draw = np.random.default_rng(SEED)
-    features, sizes, target, kept_back = [], [], [], []
+    features, sizes, target, kept_back, parts = [], [], [], [], []
     for text, label in zip(texts, labels, strict=True):
         split = text.split()
         if not any(c.isalpha() for c in text):
@@ -112,6 +174,7 @@ def train(texts: list[str], labels: list[str]) -> LanguageModel | None:
                 sizes.append(len(code))
                 target.append(languages.index(label))
                 kept_back.append(back)
+                parts.append(part)
     if not features:
         return None
     y, back, n = np.array(target), np.array(kept_back), np.array(sizes)
@@ -148,7 +211,21 @@ def train(texts: list[str], labels: list[str]) -> LanguageModel | None:
     loss = [-np.log(np.maximum(_softmax(logits / t)[np.arange(len(held)), y[held]], 1e-12)).mean() for t in grid]
     temperature = float(grid[int(np.argmin(loss))])
     best = _softmax(logits / temperature).max(axis=1)
-    return LanguageModel(languages, table @ out.T, bias, temperature, float(np.quantile(best, 1 / REJECT_ONE_IN, method="lower")))
+    count = np.array([sum(any(map(str.isalpha, w)) for w in parts[i]) for i in held])
+    classes = length_class(count)
+    bounds = np.array([np.quantile(best[classes == c] if (classes == c).any() else best, 1 / REJECT_ONE_IN, method="lower") for c in range(len(LENGTHS))])
+    known = np.zeros(1 << KNOWN_BITS >> 3, np.uint8)
+    for i in fit:
+        code, _ = word_subwords(parts[i])
+        np.bitwise_or.at(known, code >> 3, (1 << (code & 7)).astype(np.uint8))
+    shares, deviations = [], []
+    for i, n_words in zip(held, count, strict=True):
+        hit, all_ = known_shares(parts[i], known)
+        if n_words >= min(LENGTHS[-1], count.max()):
+            shares.append(hit.sum() / max(all_.sum(), 1))
+        deviations.append(np.std(hit[all_ > 0]) if n_words > 1 else 0.0)
+    spread = (float(np.median(shares)), max(BETWEEN, _deviation(np.array(shares))), max(WITHIN, float(np.median(deviations))))
+    return LanguageModel(languages, table @ out.T, bias, temperature, bounds, known, spread)
 
 
 def fit(docs: DataFrame, label_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", per_language: int = PER_LANGUAGE) -> LanguageModel | None:
@@ -169,9 +246,11 @@ def fit(docs: DataFrame, label_col: str = "lang", text_col: str = "text", id_col
 def identify(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
     """All columns, and ``lang_pred``, ``score`` (0 to 1), ``rejected``."""
     kept = [f.name for f in docs.schema.fields]
+    names_out = []
     for name in ("lang_pred", "score", "rejected"):
-        if name in kept:
-            raise ValueError(f"the input has a column {name}")
+        while name in kept:
+            name = f"language_id_{name}"
+        names_out.append(name)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most BUCKETS x LANGUAGES numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,7 +258,7 @@ def identify(docs: DataFrame, model: LanguageModel | None, text_col: str = "text
         for batch in batches:
             for part in slices(batch, text_col):
                 rows = part.num_rows
-                best, score, letters = np.zeros(rows, np.int64), np.zeros(rows), np.zeros(rows, bool)
+                best, score, letters, odd = np.zeros(rows, np.int64), np.zeros(rows), np.zeros(rows, bool), np.zeros(rows, bool)
                 w = words(part.column(text_col))
                 if len(w.starts):
                     codes, distinct = pd.factorize(w.hashes())
@@ -187,7 +266,8 @@ def identify(docs: DataFrame, model: LanguageModel | None, text_col: str = "text
                     sample[codes[::-1]] = np.arange(len(codes))[::-1]
                     text = w.data.tobytes()
                     own = [text[a:b].decode() for a, b in zip(w.starts[sample].tolist(), w.ends[sample].tolist(), strict=True)]
-                    letters = group_sums(np.array([any(map(str.isalpha, t)) for t in own], np.int64)[codes], np.diff(w.first)) > 0
+                    count = group_sums(np.array([any(map(str.isalpha, t)) for t in own], np.int64)[codes], np.diff(w.first))
+                    letters = count > 0
                     if model is not None:
                         feature, n = word_features(own)
                         starts = np.concatenate(([0], np.cumsum(n)[:-1]))
@@ -195,14 +275,16 @@ def identify(docs: DataFrame, model: LanguageModel | None, text_col: str = "text
                         logits = np.stack([group_sums(sums[codes, j], np.diff(w.first)) for j in range(sums.shape[1])], axis=1)
                         p = model.scores(logits / np.maximum(group_sums(n[codes], np.diff(w.first)), 1)[:, None])
                         best, score = p.argmax(axis=1), p.max(axis=1)
+                        hit, all_ = (group_sums(x[codes], np.diff(w.first)) for x in known_shares(own, model.known))
+                        odd = model.rejects(score, hit / np.maximum(all_, 1), count)
                 sure = letters & (model is not None)
                 names = np.array([*(model.languages if model is not None else []), UNKNOWN], object)
                 label = names[np.where(sure, best, len(names) - 1)]
                 score = np.where(sure, score, 0.0)
-                rejected = ~sure | (score < (model.bound if model is not None else 0))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(label, pa.string()), pa.array(score), pa.array(rejected)], names=[*kept, "lang_pred", "score", "rejected"])
+                rejected = ~sure | odd
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(label, pa.string()), pa.array(score), pa.array(rejected)], names=[*kept, *names_out])
 
-    fields = [*docs.schema.fields, *docs.sparkSession.createDataFrame([], "lang_pred string, score double, rejected boolean").schema.fields]
+    fields = [*docs.schema.fields, *docs.sparkSession.createDataFrame([], "{} string, {} double, {} boolean".format(*names_out)).schema.fields]
     return docs.mapInArrow(run, type(docs.schema)(fields))
 
 

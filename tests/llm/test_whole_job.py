@@ -8,7 +8,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from orderlake.llm import surrogates, templates
+from orderlake.llm import language_id, surrogates, templates
 from orderlake.llm.near_dedup import near_duplicates
 from orderlake.llm.ship import ship
 
@@ -133,3 +133,25 @@ def test_slots_at_beginnings_of_other_lengths_and_languages(sent):
         (6, swap(run, ("of Lyon with", "of New York with"), ("of Lyon after", "of San Juan after"))), (7, "A plain text. It has nothing in it. Nobody reads it. Then it ends."),
     ]
     assert flags(sent, rows, items) == [(1, True), (2, True), (3, True), (4, True), (5, False), (6, False), (7, False)]
+
+
+def test_unlearned_languages_and_letters_are_rejected(sent):
+    draw = random.Random(6)
+    parts = {"xx": "ka ko ku la lo lu mi ma mu".split(), "yy": "zen zar tor tin gel gor rus ris".split(), "zz": "quai fleu bwao shoe drue wheu".split()}
+    word = {lang: ["".join(draw.choice(p) for _ in range(draw.randint(1, 3))) for _ in range(150)] for lang, p in parts.items()}
+    text = lambda lang, n: " ".join(draw.choice(word[lang]) for _ in range(n))
+    letters = lambda n: " ".join("".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(draw.randint(2, 9))) for _ in range(n))
+    learned = [(n, text(lang, draw.randint(1, 60)), lang, 7.5) for n, lang in enumerate(["xx", "yy"] * 200)]
+    rows = [(n, text(lang, draw.randint(1, 60)), lang, 7.5) for n, lang in enumerate(["xx", "yy"] * 150, 1000)]
+    rows += [(n, text("zz", draw.randint(5, 60)), None, 7.5) for n in range(2000, 2100)] + [(n, letters(draw.randint(5, 60)), None, 7.5) for n in range(3000, 3100)]
+    schema = "doc_id long, text string, lang string, score double"
+    model = language_id.fit(sent.createDataFrame(learned, schema))
+    out = language_id.identify(sent.createDataFrame(rows, schema), model)
+    assert out.columns == ["doc_id", "text", "lang", "score", "lang_pred", "language_id_score", "rejected"]
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert all(r["score"] == 7.5 for r in got.values())
+    assert all(r["rejected"] for n, r in got.items() if n >= 2000)
+    assert sum(r["rejected"] for n, r in got.items() if n < 2000) <= 3
+    both = sent.createDataFrame([*learned, *rows[300:]], schema)
+    kept = corpus_pipeline.language_id(sent, both, "")
+    assert kept.columns == both.columns and {r["doc_id"] for r in kept.collect()} <= {r[0] for r in learned} and kept.count() >= 396
