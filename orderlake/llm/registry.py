@@ -12,6 +12,7 @@ from orderlake.llm.near_dedup import op7_near_dedup
 from orderlake.llm.packing import op4_packing
 from orderlake.llm.quotations import OP6_SQL, op6_quotations
 from orderlake.llm.ship import shipped
+from orderlake.llm.spelling_variants import op11_spelling_variants
 from orderlake.llm.substring_dedup import OP1_SQL, op1_substring_dedup
 from orderlake.llm.surrogates import op8_surrogates
 from orderlake.llm.templates import op10_templates
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_surrogates": op8_surrogates,
     "op9_token_counts": op9_token_counts,
     "op10_templates": op10_templates,
+    "op11_spelling_variants": op11_spelling_variants,
 }
 
 QUERIES = {name: shipped(query) for name, query in QUERIES.items()}
