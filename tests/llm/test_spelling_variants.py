@@ -86,7 +86,7 @@ def test_query_equals_brute_force(spark, lake_root, seed):
 
 
 def test_odd_inputs(spark, lake_root):
-    long = "ab" * 60_000
+    long = "ab" * 2_500
     rows = [(None, "nationwide " * 30), (1, None), (2, ""), (3, "Nationwidé " * 6), (3, "Nationwidé " * 6), (4, "natiońwide × ÷÷÷÷÷÷÷ 12345678 кириллица " * 6), (5, f"{long} " * 5), (6, f"{long}a " * 5)]
     assert collected(op11_spelling_variants(spark, write(spark, lake_root, rows))) == expected(rows)
 
