@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orderlake.llm.conversation_repair import op12_conversation_repair
 from orderlake.llm.cross_polytope import op2_cross_polytope
 from orderlake.llm.language_id import op5_language_id
 from orderlake.llm.near_dedup import op7_near_dedup
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_templates": op10_templates,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 QUERIES = {name: shipped(query) for name, query in QUERIES.items()}
