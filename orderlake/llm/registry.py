@@ -11,6 +11,7 @@ from orderlake.llm.cross_polytope import op2_cross_polytope
 from orderlake.llm.language_id import op5_language_id
 from orderlake.llm.near_dedup import op7_near_dedup
 from orderlake.llm.packing import op4_packing
+from orderlake.llm.page_text import op13_page_text
 from orderlake.llm.quotations import OP6_SQL, op6_quotations
 from orderlake.llm.ship import shipped
 from orderlake.llm.spelling_variants import op11_spelling_variants
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_templates": op10_templates,
     "op11_spelling_variants": op11_spelling_variants,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_page_text": op13_page_text,
 }
 
 QUERIES = {name: shipped(query) for name, query in QUERIES.items()}
