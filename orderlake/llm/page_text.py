@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -38,6 +39,8 @@ from pyspark.sql import functions as F
 
 from orderlake.llm.storage import new_folder
 
+#: Elements nested deeper than this count as children of the one at this depth, as in browsers.
+DEEPEST = 512
 #: Pages (in thought) without a path, against paths that few pages have.
 DOUBT = 2.0
 #: Power of the part of the host's pages that have a path, in its standing.
@@ -158,6 +161,7 @@ class Page:
         root = Element("", "", None, 0, False, 1.0)
         self.elements, self.blocks, self.boxes = [root], [], {}
         self.open, self.block, self.links = [root], None, 0
+        self.opened: Counter = Counter()
         at = 0
         while at < len(source):
             less = source.find("<", at)
@@ -196,7 +200,7 @@ class Page:
         if self.block is None:
             if text.isspace():
                 return
-            k = len(self.open) - 1
+            k = min(len(self.open), DEEPEST) - 1
             while k and self.open[k].tag not in BLOCKS:
                 k -= 1
             self.block = Block(self.open[k])
@@ -218,11 +222,11 @@ class Page:
         if tag in BLOCKS:
             self._imply(tag)
             self.block = None
-        parent = self.open[-1]
+        parent = self.open[min(len(self.open), DEEPEST) - 1]
         at = _attributes(rest)
         names = at.get("class", "")
         outer = tag in ("html", "body", "main", "article")
-        silent = parent.silent or tag in SILENT or "hidden" in at or at.get("aria-hidden", "").lower() == "true" or bool(UNSEEN.search(at.get("style", "")))
+        silent = self.open[-1].silent or tag in SILENT or "hidden" in at or at.get("aria-hidden", "").lower() == "true" or bool(UNSEEN.search(at.get("style", "")))
         named = False
         self.number += 1
         if not silent and not outer:
@@ -243,6 +247,7 @@ class Page:
                 self.links += 1
         element.number = self.number
         self.open.append(element)
+        self.opened[tag] += 1
         if named:
             self.suspect, self.held = element, [0, 0]
         elif self.suspect is not None:
@@ -262,8 +267,8 @@ class Page:
                 return
 
     def _close(self, tag: str) -> None:
-        if tag == "p" and all(e.tag != "p" for e in self.open):
-            self.block = None
+        if not self.opened[tag]:
+            self.block = None if tag == "p" else self.block
             return
         for k in range(len(self.open) - 1, 0, -1):
             own = self.open[k].tag
@@ -276,6 +281,7 @@ class Page:
 
     def _drop(self, k: int) -> None:
         for e in self.open[k:]:
+            self.opened[e.tag] -= 1
             if e.tag == "a":
                 self.links -= 1
             if e.tag in BLOCKS:
