@@ -417,6 +417,21 @@ bbr AS (
 )
 
 
+CUSTOMER_LOADS = (
+    LINES,
+    """
+undated AS (
+  SELECT * REPLACE (CASE WHEN order_priority = '3-MEDIUM' AND part_size = 1 THEN NULL ELSE InvoiceDate END AS InvoiceDate) FROM lines
+)""",
+    events("undated", "uev"),
+    bronze("uev", "ubr"),
+    typed("ubr", "uty"),
+    stage("(SELECT * FROM uty WHERE CAST(substr(batch_id, 6, 10) AS DATE) < DATE '1998-06-01')", "cload1", "customer_id, line_no"),
+    stage("(SELECT * FROM uty WHERE CAST(substr(batch_id, 6, 10) AS DATE) >= DATE '1998-06-01')", "cload2", "customer_id, line_no"),
+    _merge("cload1", "cload2", MERGE_COLS, ["customer_id", "line_no"]),
+)
+
+
 def _numbered(select: str, order: str) -> str:
     return f"SELECT *, CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS row_num FROM ({select})"
 
@@ -495,6 +510,9 @@ affected AS (
 ),
 scoped AS (SELECT * FROM merged WHERE event_date IN (SELECT event_date FROM affected))""",
     ) + GOLD_DAILY.format(src="scoped")
+    rebuilt = {"daily_sales": GOLD_DAILY, "product_performance": GOLD_PRODUCT, "country_revenue": GOLD_COUNTRY, "order_status_summary": GOLD_STATUS}
+    for name, select in rebuilt.items():
+        q[f"gold_maintained_{name}"] = _with(*CUSTOMER_LOADS) + select.format(src="merged")
     daily = f"({GOLD_DAILY.format(src='silver')})"
     q["report_kpis"] = silver_gold + f"""
 SELECT CAST(sum(net_revenue) AS DOUBLE) AS net_revenue, CAST(sum(net_units) AS BIGINT) AS net_units,

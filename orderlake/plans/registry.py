@@ -17,6 +17,7 @@ from pyspark.sql.types import TimestampType
 
 from orderlake.functions import cleaning as C
 from orderlake.operators import gold, health, quality
+from orderlake.operators import gold_delta as gd
 from orderlake.operators.bronze import prepare_bronze
 from orderlake.operators.classify import classify_changes
 from orderlake.operators.events import to_order_events
@@ -31,6 +32,7 @@ from orderlake.sources.schemas import CLOCK_COLUMNS, LANDING_COLUMNS, LANDING_SC
 
 SOURCE_FILE = "retail_lines"
 LINE_KEYS = ("invoice_no", "line_no")
+CUSTOMER_KEYS = ("customer_id", "line_no")
 # Load boundary of the two-batch merge queries: lines shipped before it form the
 # first load, the rest the second.
 MERGE_CUTOVER = "1998-06-01"
@@ -144,6 +146,35 @@ def merged_loads(spark: SparkSession, sf: str) -> DataFrame:
     return merge_latest(first.select(*cols), second.select(*cols), keys=LINE_KEYS, columns=cols, track=["event_date"])
 
 
+def undated_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines without an invoice time where a medium-priority order holds a part of size 1 (by attribute, on all rows)."""
+    src = lines(spark, sf)
+    unknown = (F.col("order_priority") == "3-MEDIUM") & (F.col("part_size") == 1)
+    return src.withColumn("InvoiceDate", F.when(~unknown, F.col("InvoiceDate")))
+
+
+def customer_loads(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The latest line of each customer and line number, before and from the cutover.
+
+    Real second arrivals: a later order of the customer takes the place of the earlier one, with
+    another date, product, quantity and status; some dates are NULL.
+    """
+    b = bronze(spark, sf, undated_lines(spark, sf))
+    day, cut = F.substring("updated_at", 1, 10).cast("date"), F.lit(MERGE_CUTOVER).cast("date")
+    return tuple(stage_latest(b.filter(part), keys=CUSTOMER_KEYS, with_clock=False) for part in (day < cut, day >= cut))
+
+
+def maintained_gold(spark: SparkSession, sf: str, table: gd.GoldTable) -> DataFrame:
+    """A business table after two loads, from the state of the first and the signed changes of the second."""
+    first, second = customer_loads(spark, sf)
+    cols = [*SILVER_OUT, "line_no"]
+    merged = merge_latest(first.select(*cols), second.select(*cols), keys=CUSTOMER_KEYS, columns=cols, track=gd.IMAGE)
+    inserts = gd.as_inserts(first)
+    state = gd.next_state(table, inserts)
+    references = gd.fold_references(table, gd.reference_deltas(table, inserts))
+    return gd.published(table, gd.next_state(table, gd.signed_images(merged), state, references))
+
+
 def correction_batch(spark: SparkSession, sf: str, b: DataFrame | None = None) -> DataFrame:
     """Replays of every line; cancelled lines come back 4 hours newer with |qty|+1."""
     b = b if b is not None else bronze(spark, sf)
@@ -345,6 +376,10 @@ def q_gold_affected_dates(spark, sf):
     return gold.daily_sales_for_dates(m.drop("_merge_action", "_old_event_date"), affected, with_clock=False)
 
 
+def _q_maintained(table: gd.GoldTable) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf: maintained_gold(spark, sf, table)
+
+
 def q_report_kpis(spark, sf):
     return reports.kpis(gold.daily_sales(gold_silver(spark, sf), with_clock=False))
 
@@ -414,6 +449,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_order_status_summary": q_gold_order_status_summary,
     "gold_run_health": q_gold_run_health,
     "gold_affected_dates": q_gold_affected_dates,
+    **{f"gold_maintained_{table.name}": _q_maintained(table) for table in gd.GOLD_TABLES},
     "report_kpis": q_report_kpis,
     "report_daily_trend": q_report_daily_trend,
     "report_country": q_report_country,
