@@ -77,13 +77,16 @@ def business_tables(silver: DataFrame, with_clock: bool = True) -> dict[str, Dat
 
 
 def daily_sales_for_dates(silver: DataFrame, dates: DataFrame, with_clock: bool = True) -> DataFrame:
-    """Recompute ``daily_sales`` only for ``dates`` (one ``event_date`` column).
+    """Compute ``daily_sales`` again only for ``dates`` (one ``event_date`` column; NULL is a date too).
 
-    The semi-join on the partition column lets Spark prune Silver partitions at run
-    time (dynamic partition pruning) when Silver is a partitioned table.
+    The semi-join on the partition column lets Spark prune Silver partitions at run time (dynamic
+    partition pruning) when Silver is a partitioned table; rows without a date lie in a partition of
+    their own, which a plain filter picks.
     """
-    scoped = silver.join(dates.select("event_date").distinct(), "event_date", "left_semi")
-    return daily_sales(scoped, with_clock)
+    wanted = dates.select(F.col("event_date").alias("__date")).distinct()
+    dated = silver.join(wanted, F.col("event_date") == F.col("__date"), "left_semi")
+    none = silver.filter("event_date is null").join(wanted.filter("__date is null"), F.col("event_date").eqNullSafe(F.col("__date")), "left_semi")
+    return daily_sales(dated.unionByName(none), with_clock)
 
 
 def cancellation_rate(order_status: DataFrame) -> DataFrame:

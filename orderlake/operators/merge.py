@@ -65,9 +65,10 @@ def merge_latest(
 def changed_values(merged: DataFrame, column: str = "event_date") -> DataFrame:
     """Distinct old and new values of ``column`` over inserted or updated rows.
 
-    A correction that moves a row to another date touches both partitions.
+    A correction that moves a row to another date touches both partitions; NULL is a value too. Only
+    updated rows have an old value.
     """
-    changed = merged.filter(F.col(ACTION_COL).isin("insert", "update"))
-    new = changed.select(F.col(column).alias(column))
-    old = changed.filter(F.col(f"_old_{column}").isNotNull()).select(F.col(f"_old_{column}").alias(column))
+    action = F.col(ACTION_COL)
+    new = merged.filter(action.isin("insert", "update")).select(F.col(column).alias(column))
+    old = merged.filter(action == "update").select(F.col(f"_old_{column}").alias(column))
     return new.union(old).distinct()

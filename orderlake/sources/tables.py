@@ -80,6 +80,23 @@ class Lake:
     def rejected(self) -> str:
         return self.path(REJECTED_LOCATION)
 
+    def index(self, name: str) -> str:
+        """Folder of an index kept beside the tables."""
+        return self.path(f"_index/{name}")
+
+    @property
+    def changes(self) -> str:
+        """Signed row images of each Silver merge, one folder for each load."""
+        return self.path("_changes/silver")
+
+    @property
+    def journal(self) -> str:
+        """Merges that are decided but not yet finished."""
+        return self.path("_journal/silver")
+
+    def gold_state(self, *parts: str) -> str:
+        return self.path("/".join(["_gold_state", *parts]))
+
     def staging(self, *parts: str) -> str:
         return self.path("/".join([STAGING_LOCATION, *parts]))
 
@@ -187,6 +204,48 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
 
 
+def _file_system(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders right below ``path``, sorted; none if it does not exist."""
+    fs, hpath = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(hpath)) if fs.exists(hpath) else []
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; its target must not exist."""
+    fs, old = _file_system(spark, source)
+    _, new = _file_system(spark, target)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole: written under another name, then renamed."""
+    fs, hpath = _file_system(spark, path)
+    _, draft = _file_system(spark, path + ".draft")
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(hpath, False)
+    if not fs.rename(draft, hpath):
+        raise OSError(f"could not write {path}")
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    fs, hpath = _file_system(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def publish(spark: SparkSession, lake: Lake, catalog_prefix: str = "") -> DataFrame:
     """K8: register the layer tables in the catalog as EXTERNAL tables over their paths.
 
