@@ -2,13 +2,34 @@
 
 Tables ``lineitem orders part customer nation`` are views over the same parquet
 files. Money keeps Spark's decimal result types (explicit casts), counts are
-BIGINT, positions are INTEGER. Check predicates are the checks' own SQL text.
+BIGINT, positions are INTEGER. Nothing is taken from the library: predicates, cutovers and
+caps are written out here.
 """
 
 from __future__ import annotations
 
-from orderlake.operators.quality import SILVER_ORDER_CHECKS
-from orderlake.plans.registry import CAP_PER_DAY, DQ_RUN_ID, MERGE_CUTOVER
+# Name, severity, description and predicate text of the checks, and the predicate in words of this file.
+CHECKS = [
+    ("silver_order_id_not_null", "critical", "Every Silver order row must have a natural key.",
+     "order_id IS NULL OR trim(order_id) = ''", "length(trim(coalesce(order_id, ''))) = 0"),
+    ("silver_no_duplicate_order_ids", "critical", "Silver must contain at most one current row per order_id.",
+     "__duplicate_order_id = true", "__duplicate_order_id"),
+    ("silver_updated_at_not_null", "critical", "Every Silver row must have an updated_at timestamp for merge ordering.",
+     "updated_at IS NULL", "updated_at IS NOT DISTINCT FROM NULL"),
+    ("silver_quantity_not_zero", "critical", "UCI rows can be positive sales or negative cancellations, but quantity should not be zero.",
+     "quantity = 0 OR quantity IS NULL", "coalesce(quantity, 0) = 0"),
+    ("silver_unit_price_non_negative", "critical", "Unit price should not be negative.",
+     "unit_price < 0 OR unit_price IS NULL", "NOT coalesce(unit_price >= 0, false)"),
+    ("silver_invoice_no_present", "warning", "Invoice number should be present for lineage back to the public dataset.",
+     "invoice_no IS NULL OR trim(invoice_no) = ''", "length(trim(coalesce(invoice_no, ''))) = 0"),
+    ("silver_country_present", "warning", "Country should be populated for country-level Gold aggregations.",
+     "country IS NULL OR trim(country) = ''", "length(trim(coalesce(country, ''))) = 0"),
+]
+# Parameters of the queries, as this file knows them.
+CAP_PER_DAY = 10
+DQ_RUN_ID = "dq-oracle"
+MERGE_CUTOVER = "1998-06-01"
+BACKFILL_CUTOVER = "1996-01-01"
 
 TRIM_RE = r"'^\s+|\s+$'"
 
@@ -187,20 +208,20 @@ def _q(s: str) -> str:
 def results_from(agg_src: str, run_id: str, extra_cols: str = "") -> str:
     """UNION ALL of one row per check over an aggregate holding f0..f6 and total."""
     parts = []
-    for i, c in enumerate(SILVER_ORDER_CHECKS):
+    for i, (name, severity, description, text, _) in enumerate(CHECKS):
         parts.append(
-            f"SELECT {run_id} AS run_id, '{c.name}' AS check_name, '{c.table_name}' AS table_name, "
-            f"'{c.severity}' AS severity, CASE WHEN f{i} > 0 THEN 'fail' ELSE 'pass' END AS status, "
+            f"SELECT {run_id} AS run_id, '{name}' AS check_name, 'silver.orders' AS table_name, "
+            f"'{severity}' AS severity, CASE WHEN f{i} > 0 THEN 'fail' ELSE 'pass' END AS status, "
             f"CAST(f{i} AS BIGINT) AS failed_count, CAST(total AS BIGINT) AS total_count, "
             f"CASE WHEN total > 0 THEN CAST(f{i} AS DOUBLE) / CAST(total AS DOUBLE) ELSE 0.0::DOUBLE END AS failure_rate, "
-            f"'{_q(c.description)}' AS description, '{_q(c.failure_expression)}' AS failure_expression{extra_cols} "
+            f"'{_q(description)}' AS description, '{_q(text)}' AS failure_expression{extra_cols} "
             f"FROM {agg_src}"
         )
     return "\nUNION ALL\n".join(parts)
 
 
 def _count_ifs() -> str:
-    return ", ".join(f"count_if({c.failure_expression}) AS f{i}" for i, c in enumerate(SILVER_ORDER_CHECKS))
+    return ", ".join(f"count_if({predicate}) AS f{i}" for i, (*_, predicate) in enumerate(CHECKS))
 
 
 DQ_RESULTS = _with(
@@ -210,9 +231,9 @@ agg AS (SELECT {_count_ifs()}, count(*) AS total FROM fs)""",
 ) + "\n" + results_from("agg", f"'{DQ_RUN_ID}'")
 
 DQ_REJECTED = _with(*FAULTY_SILVER) + "\n" + "\nUNION ALL\n".join(
-    f"SELECT {SILVER_COLS}, line_no, __duplicate_order_id, '{DQ_RUN_ID}' AS run_id, '{c.name}' AS check_name, "
-    f"'{c.severity}' AS severity FROM fs WHERE {c.failure_expression}"
-    for c in SILVER_ORDER_CHECKS
+    f"SELECT {SILVER_COLS}, line_no, __duplicate_order_id, '{DQ_RUN_ID}' AS run_id, '{name}' AS check_name, "
+    f"'{severity}' AS severity FROM fs WHERE {predicate}"
+    for name, severity, _, _, predicate in CHECKS
 )
 
 DQ_GATE = _with(
@@ -572,6 +593,38 @@ summary AS (
     ) + """
 SELECT *, CAST(sum(new_keys) OVER (ORDER BY run_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS silver_rows
 FROM summary"""
+    # After each day, the rows of Silver are looked up afresh: the latest line of every customer and line number so far.
+    q["backfill_states"] = _with(
+        LINES,
+        FAULTY,
+        f"""
+bounds AS (SELECT DATE '{BACKFILL_CUTOVER}' AS s, max(CAST(InvoiceDate AS DATE)) AS e FROM lines),
+days AS (SELECT CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS run_date FROM bounds)""",
+        events("faulty", "sev", arrival="CAST(InvoiceDate AS DATE)"),
+        bronze("sev", "sbr"),
+        typed("sbr", "sty"),
+        stage("(SELECT * FROM sty)", "day_won", "customer_id, line_no, bronze_batch_id"),
+        f"""
+held AS (SELECT *, CAST(substr(bronze_batch_id, 6, 10) AS DATE) AS since FROM day_won),
+asked AS (SELECT run_date, customer_id, line_no FROM days, (SELECT DISTINCT customer_id, line_no FROM held)),
+state AS (
+  SELECT a.run_date, h.* FROM asked a
+  ASOF JOIN held h ON a.customer_id = h.customer_id AND a.line_no = h.line_no AND a.run_date >= h.since
+),
+flagged AS (SELECT run_date, {", ".join(f"({p}) AS f{i}" for i, (*_, p) in enumerate(CHECKS) if i != 1)} FROM state),
+counted AS (SELECT run_date, count(*) AS silver_rows, {", ".join(f"count_if(f{i}) AS f{i}" for i in range(len(CHECKS)) if i != 1)} FROM flagged GROUP BY run_date),
+twice AS (
+  SELECT run_date, sum(n) AS f1 FROM (SELECT run_date, order_id, count(*) AS n FROM state GROUP BY ALL HAVING count(*) > 1) GROUP BY run_date
+),
+found AS (
+  SELECT d.run_date, coalesce(silver_rows, 0) AS silver_rows, {", ".join(f"coalesce(f{i}, 0) AS f{i}" for i in range(len(CHECKS)))}
+  FROM days d LEFT JOIN counted c ON d.run_date = c.run_date LEFT JOIN twice t ON d.run_date = t.run_date
+)""",
+    ) + f"""
+SELECT run_date, CAST(silver_rows AS BIGINT) AS silver_rows,
+       CAST({" + ".join(f"CAST(f{i} > 0 AS INTEGER)" for i in range(len(CHECKS)))} AS BIGINT) AS quality_failures,
+       {", ".join(f"CAST(f{i} AS BIGINT) AS {name}" for i, (name, *_) in enumerate(CHECKS))}
+FROM found"""
     q["backfill_silver"] = _with(*BACKFILL, stage("bty", "bsl", "order_id", then_by="run_date ASC NULLS FIRST")) + (
         f"\nSELECT {SILVER_COLS} FROM bsl"
     )

@@ -20,6 +20,7 @@ from orderlake.operators import gold, health, quality
 from orderlake.operators import gold_delta as gd
 from orderlake.operators.bronze import prepare_bronze
 from orderlake.operators.classify import classify_changes
+from orderlake.operators.day_states import day_states
 from orderlake.operators.events import to_order_events
 from orderlake.operators.lines import business_day_slice, cap_per_day, invoice_day, resolve_day
 from orderlake.operators.merge import changed_values, merge_latest
@@ -37,6 +38,8 @@ CUSTOMER_KEYS = ("customer_id", "line_no")
 # first load, the rest the second.
 MERGE_CUTOVER = "1998-06-01"
 CAP_PER_DAY = 10
+# First day of the backfill whose per-day states are reported; Silver holds the days before it.
+BACKFILL_CUTOVER = "1996-01-01"
 DQ_RUN_ID = "dq-oracle"
 CORRECTION_SOURCE = C.SOURCE_SYSTEM + "_correction"
 
@@ -216,6 +219,17 @@ def backfill_range_frames(spark: SparkSession, sf: str) -> tuple[DataFrame, Data
     return b, days, prefix
 
 
+def backfill_over_silver(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Days, Bronze and prior Silver of a backfill of faulty lines; a customer's later lines replace the earlier ones."""
+    src = faulty_lines(spark, sf)
+    cut = F.lit(BACKFILL_CUTOVER).cast("date")
+    earlier = to_order_events(src.filter(invoice_day(src) < cut), arrival_date=F.to_date("InvoiceDate"), keep=["line_no"])
+    prior = stage_latest(prepare_bronze(earlier, batch_id="earlier", source_file=SOURCE_FILE), keys=CUSTOMER_KEYS, with_clock=False)
+    days = bf.day_sequence(spark, cut, src.agg(F.max(invoice_day(src))).scalar())
+    by_day = bf.backfill_lines(src.filter(invoice_day(src) >= cut), days)
+    return days, bf.backfill_bronze(by_day, "states", keep=["line_no"]), prior
+
+
 # ------------------------------------------------------------------ queries
 
 
@@ -423,6 +437,11 @@ def q_backfill_silver(spark, sf):
     return _ntz(bf.backfill_silver(b, with_clock=False).select(*SILVER_OUT))
 
 
+def q_backfill_states(spark, sf):
+    days, rows, prior = backfill_over_silver(spark, sf)
+    return day_states(days, rows, prior, keys=CUSTOMER_KEYS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_lines": q_source_lines,
     "landing_events": q_landing_events,
@@ -460,5 +479,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "change_classes": q_change_classes,
     "backfill_range": q_backfill_range,
     "backfill_silver": q_backfill_silver,
+    "backfill_states": q_backfill_states,
     "run_log_latest": q_run_log_latest,
 }
