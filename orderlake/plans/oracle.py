@@ -254,34 +254,15 @@ OPS = (
 flag AS (SELECT *, count(*) OVER (PARTITION BY bronze_batch_id, order_id) > 1 AS __duplicate_order_id FROM fty)""",
     f"""
 dqagg AS (
-  SELECT bronze_batch_id AS run_id, {_count_ifs()}, count(*) AS total,
-         min(updated_at) + INTERVAL 2 MINUTE AS created_at
+  SELECT bronze_batch_id AS run_id, {_count_ifs()}, count(*) AS total, min(updated_at) AS created_at
   FROM flag GROUP BY bronze_batch_id
 )""",
     f"""
 dq AS ({results_from('dqagg', 'run_id', ', created_at')})""",
     """
-runlog AS (
-  SELECT bronze_batch_id AS run_id, 'bronze_orders' AS pipeline_step, 'success' AS status,
-         count(*) AS row_count, 'Ingested Bronze orders for ' || bronze_batch_id AS message,
-         min(updated_at) AS created_at
-  FROM fty GROUP BY bronze_batch_id
-  UNION ALL
-  SELECT bronze_batch_id, 'silver_orders', 'success', count(DISTINCT order_id),
-         'Merged staged Bronze orders for ' || bronze_batch_id, min(updated_at) + INTERVAL 1 MINUTE
-  FROM fty GROUP BY bronze_batch_id
-  UNION ALL
-  SELECT run_id, 'quality_checks',
-         CASE WHEN max(CASE WHEN severity = 'critical' AND status = 'fail' THEN 1 ELSE 0 END) = 1 THEN 'failed' ELSE 'success' END,
-         count(*), 'Completed ' || CAST(count(*) AS VARCHAR) || ' Silver data quality checks',
-         max(created_at) + INTERVAL 1 MINUTE
-  FROM dq GROUP BY run_id
-)""",
-    """
 latest AS (
-  SELECT pipeline_step, max(created_at) AS last_run_at, arg_max(status, created_at) AS last_status,
-         arg_max(message, created_at) AS last_message
-  FROM runlog GROUP BY pipeline_step
+  SELECT event_type AS pipeline_step, ts AS last_run_at, CASE WHEN value >= 100 THEN 'failed' ELSE 'success' END AS last_status, props AS last_message
+  FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) = 1
 )""",
     """
 health AS (
@@ -348,22 +329,22 @@ TWO_LOADS = (
 )
 
 TIES = (
-    *SHIP,
-    stage("ty", "silver_line", "invoice_no, line_no"),
+    LINES,
+    events("lines", "ev"),
     """
-corr AS (
-  SELECT * REPLACE (
-    abs(quantity) + 1 AS quantity,
-    CASE WHEN is_cancellation
-         THEN strftime(strptime(updated_at, '%Y-%m-%dT%H:%M:%SZ') + INTERVAL 4 HOUR, '%Y-%m-%dT%H:%M:%SZ')
-         ELSE updated_at END AS updated_at,
-    'uci_online_retail_correction' AS source_system
-  )
-  FROM br
+extracts AS (
+  SELECT *, 1 AS load FROM ev WHERE CAST(substr(updated_at, 1, 10) AS DATE) < DATE '1998-06-01'
+  UNION ALL
+  SELECT *, 2 FROM ev WHERE CAST(substr(updated_at, 1, 10) AS DATE) >= DATE '1998-03-01'
+),
+named AS (
+  SELECT * EXCLUDE (load), 'extract-' || load || '.jsonl' AS source_file, 'extract-' || load AS batch_id, CAST(substr(event_time, 1, 10) AS DATE) AS event_date
+  FROM extracts
 )""",
-    typed("corr", "corr_ty"),
-    stage("corr_ty", "corr_sl", "invoice_no, line_no"),
-    _merge("silver_line", "corr_sl", MERGE_COLS, ["invoice_no", "line_no"]),
+    typed("named", "nty"),
+    stage("(SELECT * FROM nty WHERE batch_id = 'extract-1')", "extract1", "invoice_no, line_no"),
+    stage("(SELECT * FROM nty WHERE batch_id = 'extract-2')", "extract2", "invoice_no, line_no"),
+    _merge("extract1", "extract2", MERGE_COLS, ["invoice_no", "line_no"]),
 )
 
 DETAIL = "source_system, quantity, unit_price, stock_code, product_name, customer_id, country, event_time, order_id"

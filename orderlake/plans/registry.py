@@ -41,7 +41,10 @@ CAP_PER_DAY = 10
 # First day of the backfill whose per-day states are reported; Silver holds the days before it.
 BACKFILL_CUTOVER = "1996-01-01"
 DQ_RUN_ID = "dq-oracle"
-CORRECTION_SOURCE = C.SOURCE_SYSTEM + "_correction"
+# The second of two overlapping extracts begins here.
+OVERLAP_FROM = "1998-03-01"
+# An event of at least this value is a failed run.
+FAILED_FROM = 100
 
 SILVER_OUT = [c for c in SILVER_COLUMNS if c not in CLOCK_COLUMNS]
 LINE_OUT = ["InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice", "CustomerID", "Country", "line_no"]
@@ -55,15 +58,6 @@ def _ntz(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def shared(df: DataFrame) -> DataFrame:
-    """A derivation that several branches of one plan consume.
-
-    Building a query starts no job and stores nothing: column pruning goes through to the
-    scans, and equal exchanges of the branches are reused.
-    """
-    return df
-
-
 def _prep(spark: SparkSession) -> None:
     use_utc(spark)
     tune_for_scale(spark)
@@ -131,11 +125,11 @@ def silver_by_line(spark: SparkSession, sf: str, source: DataFrame | None = None
 
 
 def faulty_silver(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.add_duplicate_flag(shared(silver_by_line(spark, sf, faulty_lines(spark, sf))))
+    return quality.add_duplicate_flag(silver_by_line(spark, sf, faulty_lines(spark, sf)))
 
 
 def _split_loads(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    b = shared(bronze(spark, sf))
+    b = bronze(spark, sf)
     cut = F.lit(MERGE_CUTOVER).cast("date")
     day = F.substring("updated_at", 1, 10).cast("date")
     first = stage_latest(b.filter(day < cut), keys=LINE_KEYS, with_clock=False)
@@ -178,17 +172,19 @@ def maintained_gold(spark: SparkSession, sf: str, table: gd.GoldTable) -> DataFr
     return gd.published(table, gd.next_state(table, gd.signed_images(merged), state, references))
 
 
-def correction_batch(spark: SparkSession, sf: str, b: DataFrame | None = None) -> DataFrame:
-    """Replays of every line; cancelled lines come back 4 hours newer with |qty|+1."""
-    b = b if b is not None else bronze(spark, sf)
-    newer = C.iso_utc(F.try_to_timestamp("updated_at") + F.expr("INTERVAL 4 HOURS"))
-    return b.withColumns(
-        {
-            "quantity": F.abs(F.col("quantity")) + 1,
-            "updated_at": F.when(F.col("is_cancellation"), newer).otherwise(F.col("updated_at")),
-            "source_system": F.lit(CORRECTION_SOURCE),
-        }
-    )
+def overlapping_loads(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Two extracts that overlap: lines shipped before the cutover, and lines shipped from ``OVERLAP_FROM`` on.
+
+    A line in both has the same ``updated_at`` in both; the file name tells which load a Silver row is from.
+    """
+    ev = events(spark, sf)
+    day = F.substring("updated_at", 1, 10).cast("date")
+    parts = (day < F.lit(MERGE_CUTOVER).cast("date"), day >= F.lit(OVERLAP_FROM).cast("date"))
+    out = []
+    for k, part in enumerate(parts, 1):
+        rows = prepare_bronze(ev.filter(part), batch_id=f"extract-{k}", source_file=f"extract-{k}.jsonl", ingested_at=F.try_to_timestamp("updated_at"))
+        out.append(stage_latest(rows, keys=LINE_KEYS, with_clock=False))
+    return tuple(out)
 
 
 def gold_silver(spark: SparkSession, sf: str) -> DataFrame:
@@ -196,11 +192,19 @@ def gold_silver(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ops_records(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Run log and DQ results as daily runs over the faulty ship-day batches would write them."""
-    typed = shared(type_bronze(bronze(spark, sf, faulty_lines(spark, sf))))
-    dq = bf.batch_quality_results(typed)
-    log = bf.batch_run_log(typed, dq)
-    return log, dq
+    """Run log: the given events (type as step, time, value, props as message). DQ results: the checks of
+    each ship day's batch of faulty lines, at its arrival."""
+    _prep(spark)
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    log = ev.select(
+        F.format_string("event-%012d", "event_id").alias("run_id"),
+        F.col("event_type").alias("pipeline_step"),
+        F.when(F.col("value") >= FAILED_FROM, F.lit("failed")).otherwise(F.lit("success")).alias("status"),
+        F.col("value").cast("bigint").alias("row_count"),
+        F.col("props").alias("message"),
+        F.col("ts").cast("timestamp").alias("created_at"),
+    )
+    return log, bf.batch_quality_results(type_bronze(bronze(spark, sf, faulty_lines(spark, sf))))
 
 
 def backfill_range_frames(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, F.Column]:
@@ -208,14 +212,9 @@ def backfill_range_frames(spark: SparkSession, sf: str) -> tuple[DataFrame, Data
     days_of = src.select(invoice_day(src).alias("d"))
     start, end = days_of.agg(F.min("d")).scalar(), days_of.agg(F.max("d")).scalar()
     days = bf.day_sequence(spark, start, end)
-    prefix = F.concat(
-        F.lit(bf.DEFAULT_BACKFILL_PREFIX + "-"),
-        F.date_format(start, "yyyy-MM-dd"),
-        F.lit("-to-"),
-        F.date_format(end, "yyyy-MM-dd"),
-    )
+    prefix = F.format_string(bf.RANGE_PREFIX, F.date_format(start, "yyyy-MM-dd"), F.date_format(end, "yyyy-MM-dd"))
     by_day = bf.backfill_lines(src, days)
-    b = shared(bf.backfill_bronze(by_day, prefix))
+    b = bf.backfill_bronze(by_day, prefix)
     return b, days, prefix
 
 
@@ -317,21 +316,19 @@ def q_silver_merge(spark, sf):
 
 def q_silver_merge_ties(spark, sf):
     cols = [*SILVER_OUT, "line_no"]
-    b = shared(bronze(spark, sf))
-    target = stage_latest(b, keys=LINE_KEYS, with_clock=False).select(*cols)
-    source = stage_latest(correction_batch(spark, sf, b), keys=LINE_KEYS, with_clock=False).select(*cols)
-    m = merge_latest(target, source, keys=LINE_KEYS, columns=cols, track=["event_date"])
+    first, second = overlapping_loads(spark, sf)
+    m = merge_latest(first.select(*cols), second.select(*cols), keys=LINE_KEYS, columns=cols, track=["event_date"])
     return _ntz(m.select(*cols, "_merge_action"))
 
 
 def q_dq_duplicate_flag(spark, sf):
-    s = quality.add_duplicate_flag(shared(silver_by_line(spark, sf)))
+    s = quality.add_duplicate_flag(silver_by_line(spark, sf))
     return s.select("order_id", "invoice_no", "line_no", "stock_code", quality.DUPLICATE_FLAG)
 
 
 def _dq_results(spark, sf):
     # counts without the row-level flag: one scan + one key aggregate
-    s = shared(silver_by_line(spark, sf, faulty_lines(spark, sf)))
+    s = silver_by_line(spark, sf, faulty_lines(spark, sf))
     return quality.quality_results(s, run_id=DQ_RUN_ID, duplicate_keys=["order_id"])
 
 
@@ -349,7 +346,7 @@ def q_dq_gate_summary(spark, sf):
 
 
 def q_dq_freshness(spark, sf):
-    s = shared(silver_latest(spark, sf))
+    s = silver_latest(spark, sf)
     as_of = s.agg(F.max("updated_at")).scalar()
     return _ntz(quality.freshness_check(s, as_of, hours=24))
 
@@ -385,7 +382,7 @@ def q_run_log_latest(spark, sf):
 
 
 def q_gold_affected_dates(spark, sf):
-    m = shared(merged_loads(spark, sf))
+    m = merged_loads(spark, sf)
     affected = changed_values(m, "event_date")
     return gold.daily_sales_for_dates(m.drop("_merge_action", "_old_event_date"), affected, with_clock=False)
 
@@ -423,7 +420,7 @@ def q_cancellation_rate(spark, sf):
 
 
 def q_change_classes(spark, sf):
-    c = classify_changes(shared(bronze(spark, sf)), keys=LINE_KEYS, batch_col="batch_id")
+    c = classify_changes(bronze(spark, sf), keys=LINE_KEYS, batch_col="batch_id")
     return _ntz(c)
 
 
