@@ -6,12 +6,12 @@ a ``correction`` when its ``updated_at`` is strictly greater than every earlier
 row's, else a ``replay``. ``is_late`` marks rows whose update date is after their
 business date.
 
-Scale: no step gathers a key's rows in one task. Copies are first collapsed by a
-``groupBy`` with counts (combined map-side), the running maximum is taken over one
-row per (key, batch), and the first row per (key, batch, updated_at) is a ``min``
-aggregate; the pieces are joined back on their keys, where adaptive execution
-splits a skewed partition. Output is one row per distinct arrival and class with
-its ``row_count``.
+Scale: no step gathers a key's rows, or its batches, in one task. Copies are first collapsed by a
+``groupBy`` with counts (combined map-side). The running maximum is blocked: rows are ordered and
+compared inside (key, block), a block being an hour of the ingest clock (without a clock: the names that
+share all but their last two characters); the maxima of the blocks, one row for each (key, block), get
+a running maximum of their own, which is joined back on (key, block). Output is one row per distinct
+arrival and class with its ``row_count``.
 """
 
 from __future__ import annotations
@@ -50,57 +50,39 @@ def classify_changes(
     for k in keys:
         valid = valid & F.col(k).isNotNull()
 
-    clock = F.col("ingested_at") if "ingested_at" in df.columns else F.lit(None).cast("timestamp")
-    rows = df.select(*keys, batch_col, seq_ts.alias("__u"), "event_date", *detail, clock.alias("__clock")).filter(
-        F.col("__u").isNotNull() & valid
-    )
-    kb = [*keys, batch_col]
-    kbu = [*kb, "__u"]
+    clocked = "ingested_at" in df.columns
+    clock = F.col("ingested_at") if clocked else F.lit(None).cast("timestamp")
+    rows = df.select(*keys, batch_col, seq_ts.alias("__u"), "event_date", *detail, clock.alias("__clock")).filter(F.col("__u").isNotNull() & valid)
+    once = rows.groupBy(*keys, batch_col, "__u", "event_date", *detail).agg(F.count(F.lit(1)).alias("__copies"), F.min("__clock").alias("__clock"))
 
-    distinct_rows = rows.groupBy(*kbu, "event_date", *detail).agg(
-        F.count(F.lit(1)).alias("__copies"), F.min("__clock").alias("__clock")
-    )
+    # a batch's place is its first clock among the key's rows
+    once = once.withColumn("__clock", F.min("__clock").over(Window.partitionBy(*keys, batch_col)))
+    if clocked:
+        block = F.date_trunc("hour", "__clock").cast("string")
+    else:  # names of one length more or less: all but two characters, the same number for every name
+        width = df.agg(F.greatest(F.max(F.length(batch_col)) - 2, F.lit(1))).scalar()
+        block = F.substring(F.col(batch_col), F.lit(1), width)
+    once = once.withColumn("__block", F.coalesce(block, F.lit("")))
 
-    # Both summaries come from the collapsed rows (copies already merged map-side).
-    per_batch = distinct_rows.groupBy(*kb).agg(
-        F.max("__u").alias("__bmax"), F.min("__u").alias("__bmin"), F.min("__clock").alias("__bclock")
-    )
-    by_key = Window.partitionBy(*keys)
-    per_batch = per_batch.withColumns(
+    inside = Window.partitionBy(*keys, "__block").orderBy("__clock", batch_col, "__u", *detail, "event_date")
+    placed = once.withColumns(
         {
-            "__prior_max": F.max("__bmax").over(
-                by_key.orderBy("__bclock", batch_col).rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            "__first_batch": F.min(F.struct("__bclock", batch_col)).over(by_key)[batch_col],
+            "__before": F.max("__u").over(inside.rowsBetween(Window.unboundedPreceding, -1)),
+            "__again": F.lag(F.struct(batch_col, "__u")).over(inside).eqNullSafe(F.struct(batch_col, "__u")),
         }
     )
+    tops = once.groupBy(*keys, "__block").agg(F.max("__u").alias("__top"))
+    earlier = F.max("__top").over(Window.partitionBy(*keys).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1))
+    tops = tops.withColumn("__earlier", earlier).drop("__top")
+    joined = placed.join(tops, [*keys, "__block"])
 
-    tb = F.struct(*[F.col(c) for c in detail]) if detail else F.lit(0)
-    firsts = distinct_rows.groupBy(*kbu).agg(F.min(tb).alias("__first_tb"))
-
-    g = distinct_rows.join(per_batch, kb).join(firsts, kbu)
-    is_first = tb.eqNullSafe(F.col("__first_tb"))
-    lead = (
-        F.when((F.col(batch_col) == F.col("__first_batch")) & (F.col("__u") == F.col("__bmin")), F.lit("new"))
-        .when(F.col("__prior_max").isNull() | (F.col("__u") > F.col("__prior_max")), F.lit("correction"))
-        .otherwise(F.lit("replay"))
-    )
-    parts = F.when(
-        is_first,
-        F.array(
-            F.struct(lead.alias("change_class"), F.lit(1).cast("bigint").alias("row_count")),
-            F.struct(F.lit("replay").alias("change_class"), (F.col("__copies") - 1).alias("row_count")),
-        ),
-    ).otherwise(
-        F.array(F.struct(F.lit("replay").alias("change_class"), F.col("__copies").alias("row_count")))
-    )
-    out = g.select(
-        *kb,
-        F.col("__u").alias(seq),
-        "event_date",
-        *detail,
-        F.inline(parts),
-    ).filter(F.col("row_count") > 0)
+    beaten = F.greatest("__before", "__earlier")  # NULL only if nothing came before
+    lead = F.when(beaten.isNull(), F.lit("new")).when(F.col("__u") > beaten, F.lit("correction")).otherwise(F.lit("replay"))
+    one = F.struct(lead.alias("change_class"), F.lit(1).cast("bigint").alias("row_count"))
+    rest = F.struct(F.lit("replay").alias("change_class"), (F.col("__copies") - 1).alias("row_count"))
+    whole = F.struct(F.lit("replay").alias("change_class"), F.col("__copies").alias("row_count"))
+    parts = F.when(F.col("__again"), F.array(whole)).otherwise(F.array(one, rest))
+    out = joined.select(*keys, batch_col, F.col("__u").alias(seq), "event_date", *detail, F.inline(parts)).filter("row_count > 0")
     return out.withColumn("is_late", F.to_date(F.col(seq)) > F.col("event_date"))
 
 

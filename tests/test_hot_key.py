@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -40,3 +41,33 @@ def test_hot_key_change_classes_cover_every_row(spark):
     assert sum(counts.values()) == b.count()
     new_rows = sum(v for (c, _), v in counts.items() if c == "new")
     assert new_rows == b.select("order_id").distinct().count()
+
+
+def _slow_classes(arrivals):
+    """Row by row, in order; arrivals are (clock, batch, updated_at)."""
+    best, out = None, []
+    for _, batch, stamp in sorted(arrivals):
+        out.append((batch, "new" if best is None else "correction" if stamp > best else "replay"))
+        best = stamp if best is None else max(best, stamp)
+    return out
+
+
+@pytest.mark.parametrize("clocked", [True, False])
+def test_one_key_in_100_000_batches(spark, clocked):
+    """No window holds a key's batches: they are cut into hours, or into names that begin alike."""
+    n = 100_000
+    rows = spark.range(n, numPartitions=8).select(
+        F.lit("hot").alias("order_id"),
+        F.format_string("b%06d", "id").alias("batch_id"),
+        F.date_format(F.timestamp_seconds(F.lit(1_300_000_000) + F.pmod(F.xxhash64("id"), F.lit(10_000_000)) + 40 * F.col("id")), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("updated_at"),
+        F.lit(None).cast("date").alias("event_date"),
+        F.timestamp_seconds(F.lit(1_300_000_000) + 60 * F.col("id")).alias("ingested_at"),
+    )
+    rows = rows if clocked else rows.drop("ingested_at")
+    found = classify_changes(rows)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    ordered = [w for w in plan.splitlines() if "Window" in w and "__u" in w]
+    assert ordered and all("__block" in w for w in ordered)
+    got = {(r.batch_id, r.change_class) for r in found.collect()}
+    want = _slow_classes([(None, r.batch_id, r.updated_at) if not clocked else (r.ingested_at, r.batch_id, r.updated_at) for r in rows.collect()])
+    assert got == set(want) and len({c for _, c in got}) == 3
