@@ -54,13 +54,22 @@ def clean_string(c: Column | str, dtype: DataType | None = None) -> Column:
     return F.coalesce(F.regexp_replace(text, _EDGE_WHITESPACE, ""), F.lit(""))
 
 
+def _whole(c: Column, dtype: DataType | None) -> Column:
+    value = c.try_cast("bigint")
+    if isinstance(dtype, StringType):  # "6.7" is a number too
+        value = F.coalesce(value, c.try_cast("decimal(38,18)").try_cast("bigint"))
+    return F.when(~F.isnan(c), value) if _is_float(dtype) else value
+
+
+def _exact(c: Column, dtype: DataType | None) -> Column:
+    # up to 20 digits before the point with 18 places behind it; up to 36 digits otherwise
+    value = F.coalesce(F.bround(c.try_cast("decimal(38,18)"), 2).cast("decimal(38,2)"), c.try_cast("decimal(38,2)"))
+    return F.when(~F.isnan(c), value) if _is_float(dtype) else value
+
+
 def parse_int(c: Column | str, dtype: DataType | None = None) -> Column:
     """NULL/NaN/unparseable -> 0, otherwise truncated toward zero, as ``bigint``."""
-    c = _col(c)
-    value = c.try_cast("bigint")
-    if _is_float(dtype):
-        value = F.when(F.isnan(c), F.lit(0).cast("bigint")).otherwise(value)
-    return F.coalesce(value, F.lit(0).cast("bigint"))
+    return F.coalesce(_whole(_col(c), dtype), F.lit(0).cast("bigint"))
 
 
 def parse_decimal(c: Column | str, dtype: DataType | None = None) -> Column:
@@ -69,12 +78,15 @@ def parse_decimal(c: Column | str, dtype: DataType | None = None) -> Column:
     A double is converted through its shortest decimal text (as Spark's cast does),
     so 0.125 -> 0.12 and 0.135 -> 0.14. A plain decimal cast would round half-up.
     """
+    return F.coalesce(_exact(_col(c), dtype), F.lit(0).cast("decimal(38,2)"))
+
+
+def unreadable(c: Column | str, dtype: DataType | None = None, kind: str = "int") -> Column:
+    """A value that is there, but that ``parse_int`` (``kind`` "int") or ``parse_decimal`` made zero."""
     c = _col(c)
-    exact = c.try_cast("decimal(38,18)")
-    if _is_float(dtype):
-        exact = F.when(F.isnan(c), F.lit(None).cast("decimal(38,18)")).otherwise(exact)
-    rounded = F.bround(exact, 2).cast("decimal(38,2)")
-    return F.coalesce(rounded, F.lit(0).cast("decimal(38,2)"))
+    value = _whole(c, dtype) if kind == "int" else _exact(c, dtype)
+    there = c.isNotNull() & ~is_nan(c, dtype)
+    return there & value.isNull()
 
 
 def parse_datetime(c: Column | str, dtype: DataType | None = None) -> Column:

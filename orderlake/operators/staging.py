@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from orderlake.sources.schemas import SILVER_COLUMNS
@@ -28,6 +28,10 @@ TIEBREAK = (
 )
 
 
+#: Why staging drops rows.
+REASONS = ("null_key", "no_time", "unreadable_time")
+
+
 def tiebreak_order(columns: Sequence[str]) -> list[Column]:
     out = []
     for name, direction in TIEBREAK:
@@ -60,6 +64,19 @@ def type_bronze(bronze: DataFrame) -> DataFrame:
     return bronze.select(*cols, amount.alias("order_amount"))
 
 
+def drop_reason(keys: Sequence[str] = ("order_id",), seq: str = "updated_at") -> Column:
+    """Why staging drops a Bronze row (F1, F2); NULL for rows it keeps."""
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
+    return F.when(no_key, F.lit("null_key")).when(F.col(seq).isNull(), F.lit("no_time")).when(F.try_to_timestamp(F.col(seq)).isNull(), F.lit("unreadable_time"))
+
+
+def dropped_rows(bronze: DataFrame, keys: Sequence[str] = ("order_id",), seq: str = "updated_at") -> DataFrame:
+    """The Bronze rows that staging drops, with their ``reason``."""
+    return bronze.withColumn("reason", drop_reason(keys, seq)).filter("reason is not null")
+
+
 def stage_latest(
     bronze: DataFrame,
     keys: Sequence[str] = ("order_id",),
@@ -67,13 +84,19 @@ def stage_latest(
     then_by: Sequence[Column] | None = None,
     extra: Sequence[str] = (),
     with_clock: bool = True,
+    dropped: Observation | None = None,
 ) -> DataFrame:
     """W1 + F1-F3 + P23: one row per key, the one with the greatest ``seq``.
 
     Order: ``seq`` desc, then ``then_by`` (default: newest ingest first), then the
     payload tie-break. ``row_number() == 1`` keeps the shape Spark turns into a
     partial WindowGroupLimit before the shuffle, so hot keys shrink map-side.
+    ``dropped`` is told the rows that are dropped for each of ``REASONS``, by the action
+    that runs the result.
     """
+    if dropped is not None:
+        reason = drop_reason(keys, seq)
+        bronze = bronze.observe(dropped, *[F.count_if(F.coalesce(reason == r, F.lit(False))).alias(r) for r in REASONS])
     typed = type_bronze(bronze)
     if then_by is None:
         then_by = [F.col("bronze_ingested_at").desc_nulls_last()]

@@ -434,6 +434,22 @@ undated AS (
 )
 
 
+BROKEN = (
+    LINES,
+    events("lines", "wev", carry="part_size, order_priority"),
+    bronze("wev", "wbr"),
+    """
+broken AS (
+  SELECT * EXCLUDE (part_size, order_priority) REPLACE (
+    CASE part_size WHEN 7 THEN 'not a time' WHEN 8 THEN NULL ELSE updated_at END AS updated_at,
+    CASE WHEN part_size = 9 AND order_priority = '1-URGENT' THEN NULL WHEN part_size = 9 AND order_priority = '2-HIGH' THEN ' ' ELSE order_id END AS order_id
+  )
+  FROM wbr
+)""",
+    typed("broken", "wty"),
+)
+
+
 def _numbered(select: str, order: str) -> str:
     return f"SELECT *, CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS row_num FROM ({select})"
 
@@ -487,6 +503,18 @@ pick AS (
         "\nSELECT order_id, invoice_no, line_no, stock_code, "
         "count(*) OVER (PARTITION BY order_id) > 1 AS __duplicate_order_id FROM silver_line"
     )
+    q["staging_quarantine"] = _with(*BROKEN) + """
+SELECT CASE WHEN order_id IS NULL THEN 'null_key' WHEN updated_at IS NULL THEN 'no_time' ELSE 'unreadable_time' END AS reason,
+       batch_id, order_id, invoice_no, line_no, stock_code, updated_at
+FROM broken WHERE order_id IS NULL OR TRY_CAST(updated_at AS TIMESTAMP) IS NULL"""
+    q["silver_stage_broken"] = _with(*BROKEN, stage("wty", "wsl", "order_id")) + f"\nSELECT {SILVER_COLS} FROM wsl"
+    q["dq_unstaged"] = _with(
+        *BROKEN,
+        """
+wfl AS (SELECT *, count(*) OVER (PARTITION BY order_id) > 1 AS __duplicate_order_id FROM wty)""",
+        f"""
+wagg AS (SELECT {_count_ifs()}, count(*) AS total FROM wfl)""",
+    ) + "\n" + results_from("wagg", f"'{DQ_RUN_ID}'")
     q["dq_results"] = DQ_RESULTS
     q["dq_rejected"] = DQ_REJECTED
     q["dq_gate_summary"] = DQ_GATE
@@ -515,6 +543,11 @@ scoped AS (SELECT * FROM merged WHERE event_date IN (SELECT event_date FROM affe
     rebuilt = {"daily_sales": GOLD_DAILY, "product_performance": GOLD_PRODUCT, "country_revenue": GOLD_COUNTRY, "order_status_summary": GOLD_STATUS}
     for name, select in rebuilt.items():
         q[f"gold_maintained_{name}"] = _with(*CUSTOMER_LOADS) + select.format(src="merged")
+    q["distinct_by_month"] = _with(*CUSTOMER_LOADS) + """
+SELECT CAST(date_trunc('month', event_date) AS DATE) AS month, count(DISTINCT customer_id) AS customer_count, count(DISTINCT invoice_no) AS invoice_count
+FROM (SELECT * FROM cload1 UNION ALL SELECT * FROM cload2) GROUP BY 1"""
+    q["distinct_by_country"] = silver_gold + """
+SELECT country, count(DISTINCT customer_id) AS customer_count, count(DISTINCT invoice_no) AS invoice_count FROM silver GROUP BY country"""
     daily = f"({GOLD_DAILY.format(src='silver')})"
     q["report_kpis"] = silver_gold + f"""
 SELECT CAST(sum(net_revenue) AS DOUBLE) AS net_revenue, CAST(sum(net_units) AS BIGINT) AS net_units,

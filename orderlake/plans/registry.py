@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from orderlake.functions import cleaning as C
+from orderlake.operators import distinct_bitmaps as db
 from orderlake.operators import gold, health, quality
 from orderlake.operators import gold_delta as gd
 from orderlake.operators.bronze import prepare_bronze
@@ -24,7 +25,7 @@ from orderlake.operators.day_states import day_states
 from orderlake.operators.events import to_order_events
 from orderlake.operators.lines import business_day_slice, cap_per_day, invoice_day, resolve_day
 from orderlake.operators.merge import changed_values, merge_latest
-from orderlake.operators.staging import stage_latest, type_bronze
+from orderlake.operators.staging import dropped_rows, stage_latest, type_bronze
 from orderlake.plans import backfill as bf
 from orderlake.plans import reports
 from orderlake.session import tune_for_scale, use_utc
@@ -72,14 +73,10 @@ _LINES: dict[tuple[int, str], DataFrame] = {}
 def lines(spark: SparkSession, sf: str) -> DataFrame:
     """Source lines; the (lazy, already analysed) DataFrame is reused per session."""
     _prep(spark)
-    try:
-        app = spark.sparkContext.applicationId  # changes with every new Spark context
-    except Exception:  # noqa: BLE001 - client sessions have no SparkContext
-        app = str(id(spark))
-    key = (app, sf)
+    key = (spark.sparkContext.applicationId, sf)  # the id changes with every new Spark context
     cached = _LINES.get(key)
     if cached is None or cached.sparkSession is not spark:
-        cached = _LINES[key] = retail_lines(spark, sf)
+        cached = _LINES[key] = retail_lines(spark, sf, spread=True)  # the given tables are one row group each
     return cached
 
 
@@ -116,6 +113,19 @@ def faulty_lines(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def broken_bronze(spark: SparkSession, sf: str) -> DataFrame:
+    """Arrivals some of which staging must drop: by attributes of their part and order, on all rows."""
+    ev = to_order_events(lines(spark, sf), arrival_date=_ship_day(), keep=["line_no", "part_size", "order_priority"])
+    b = prepare_bronze(ev, batch_id=F.concat(F.lit("ship-"), F.substring("updated_at", 1, 10)), source_file=SOURCE_FILE, ingested_at=F.try_to_timestamp("updated_at"))
+    size, urgent = F.col("part_size"), F.col("order_priority")
+    return b.withColumns(
+        {
+            "updated_at": F.when(size == 7, F.lit("not a time")).when(size == 8, F.lit(None).cast("string")).otherwise(F.col("updated_at")),
+            "order_id": F.when((size == 9) & (urgent == "1-URGENT"), F.lit(None).cast("string")).when((size == 9) & (urgent == "2-HIGH"), F.lit(" ")).otherwise(F.col("order_id")),
+        }
+    ).drop("part_size", "order_priority")
+
+
 def silver_latest(spark: SparkSession, sf: str) -> DataFrame:
     return stage_latest(bronze(spark, sf), with_clock=False)
 
@@ -332,6 +342,21 @@ def _dq_results(spark, sf):
     return quality.quality_results(s, run_id=DQ_RUN_ID, duplicate_keys=["order_id"])
 
 
+def q_staging_quarantine(spark, sf):
+    """F1 + F2: the arrivals that staging drops, and why."""
+    return dropped_rows(broken_bronze(spark, sf)).select("reason", "batch_id", "order_id", "invoice_no", "line_no", "stock_code", "updated_at")
+
+
+def q_silver_stage_broken(spark, sf):
+    """Staging where keys and times are missing."""
+    return _ntz(stage_latest(broken_bronze(spark, sf), with_clock=False).select(*SILVER_OUT))
+
+
+def q_dq_unstaged(spark, sf):
+    """The checks over arrivals that were not staged: all seven find failures."""
+    return quality.quality_results(type_bronze(broken_bronze(spark, sf)), run_id=DQ_RUN_ID, duplicate_keys=["order_id"]).drop("created_at")
+
+
 def q_dq_results(spark, sf):
     return _dq_results(spark, sf).drop("created_at")
 
@@ -434,6 +459,30 @@ def q_backfill_silver(spark, sf):
     return _ntz(bf.backfill_silver(b, with_clock=False).select(*SILVER_OUT))
 
 
+def _from_bitmaps(rows: DataFrame, fine: list[str], coarse: list[F.Column]) -> DataFrame:
+    """Distinct customers and invoices of coarse groups, from the state of fine ones."""
+    parts = []
+    for column, name in (("customer_id", "customer_count"), ("invoice_no", "invoice_count")):
+        state = db.bitmaps(rows, fine, column, db.dictionary(rows, column))
+        parts.append(db.counts(db.rolled_up(state, coarse), name))
+    groups = [c for c in parts[0].columns if c != "customer_count"]
+    both = parts[0].unionByName(parts[1], allowMissingColumns=True)
+    return both.groupBy(*groups).agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(n) for n in ("customer_count", "invoice_count")])
+
+
+def q_distinct_by_month(spark, sf):
+    """Months (a NULL one too) from the state of days."""
+    first, second = customer_loads(spark, sf)
+    rows = first.unionByName(second).select("event_date", "customer_id", "invoice_no")
+    return _from_bitmaps(rows, ["event_date"], [F.trunc("event_date", "month").alias("month")])
+
+
+def q_distinct_by_country(spark, sf):
+    """Countries over all time from the state of (country, month)."""
+    rows = gold_silver(spark, sf).select("country", F.trunc("event_date", "month").alias("month"), "customer_id", "invoice_no")
+    return _from_bitmaps(rows, ["country", "month"], [F.col("country")])
+
+
 def q_backfill_states(spark, sf):
     days, rows, prior = backfill_over_silver(spark, sf)
     return day_states(days, rows, prior, keys=CUSTOMER_KEYS)
@@ -455,6 +504,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_merge": q_silver_merge,
     "silver_merge_ties": q_silver_merge_ties,
     "dq_duplicate_flag": q_dq_duplicate_flag,
+    "staging_quarantine": q_staging_quarantine,
+    "silver_stage_broken": q_silver_stage_broken,
+    "dq_unstaged": q_dq_unstaged,
     "dq_results": q_dq_results,
     "dq_rejected": q_dq_rejected,
     "dq_gate_summary": q_dq_gate_summary,
@@ -466,6 +518,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_run_health": q_gold_run_health,
     "gold_affected_dates": q_gold_affected_dates,
     **{f"gold_maintained_{table.name}": _q_maintained(table) for table in gd.GOLD_TABLES},
+    "distinct_by_month": q_distinct_by_month,
+    "distinct_by_country": q_distinct_by_country,
     "report_kpis": q_report_kpis,
     "report_daily_trend": q_report_daily_trend,
     "report_country": q_report_country,

@@ -77,25 +77,12 @@ def read_invoice_lines(
     return reader.load(path).select(*SOURCE_LINE_COLUMNS)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan over the cluster when it yields fewer splits than cores.
-
-    A large table arrives in many files and row groups, so its scan is already
-    parallel and this is a no-op (no shuffle). A table stored as one row group would
-    otherwise run every following narrow step in a single task. The ``REBALANCE``
-    hint (no columns) lets adaptive execution pick the number of partitions from
-    the measured size instead of a fixed count.
-    """
-    spark = df.sparkSession
-    try:
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a client session without RDD access
-        return df
-    return df.hint("rebalance") if splits < spark.sparkContext.defaultParallelism else df
-
+def retail_lines(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """One source line per lineitem row (S7: 8 source columns plus lineage).
 
-def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One source line per lineitem row (S7: 8 source columns plus lineage)."""
+    ``spread`` is for a line table that is stored as one row group, whose scan is a single task: its rows
+    are rebalanced over the cluster first. Tables of many files and row groups need no such shuffle.
+    """
     lineitem = table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_partkey",
@@ -107,7 +94,8 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_tax",
         "l_shipdate",
     )
-    lineitem = spread(lineitem)
+    if spread:
+        lineitem = lineitem.hint("rebalance")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"
     )
