@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +57,31 @@ def index_batches(spark: SparkSession, lake: T.Lake, bronze: DataFrame) -> None:
     dates.write.mode("append").partitionBy("batch_id").parquet(lake.index(BATCH_INDEX))
 
 
+def append_once(spark: SparkSession, lake: T.Lake, bronze: DataFrame, batch_id: str, staging: str) -> None:
+    """Append a batch to Bronze so that appending it again replaces it.
+
+    The rows are written to staging and moved into Bronze's partitions under names that carry the batch.
+    A retry first removes the files of that name from the dates that any attempt has noted in the index,
+    so whatever an attempt left behind, the batch is there once. One rename for each file of the batch.
+    """
+    T.rebalanced(bronze, "event_date").write.mode("overwrite").partitionBy("event_date").parquet(staging)
+    written = spark.read.schema(bronze.select("batch_id", "event_date").schema).parquet(staging)
+    index_batches(spark, lake, written)
+    mark = f"batch-{quote(batch_id, safe='')}-"
+    index = spark.read.schema("event_date date, batch_id string").parquet(lake.index(BATCH_INDEX)).filter(F.col("batch_id") == batch_id)
+    for (day,) in index.select("event_date").distinct().collect():  # one row for each date of the batch
+        folder = f"{lake.bronze_orders}/event_date={day or NULL_PARTITION}"
+        for name in T.list_names(spark, folder):
+            if name.startswith(mark):
+                T.delete_path(spark, f"{folder}/{name}")
+    for part in T.list_names(spark, staging):
+        if part.startswith("event_date="):
+            files = [n for n in T.list_names(spark, f"{staging}/{part}") if n.endswith(".parquet")]
+            for k, name in enumerate(files):
+                T.move(spark, f"{staging}/{part}/{name}", f"{lake.bronze_orders}/{part}/{mark}{k:05d}.parquet")
+    T.delete_path(spark, staging)
+
+
 def bronze_of_batches(spark: SparkSession, lake: T.Lake, batch_ids: Sequence[str]) -> DataFrame:
     """Rows of some batches. Their dates come from the index by a join, so Spark prunes Bronze's
     partitions at run time; rows without a date lie in a partition of their own, which a plain filter
@@ -99,6 +125,12 @@ def target_of(spark: SparkSession, lake: T.Lake, dates: Sequence) -> DataFrame:
     return spark.read.parquet(lake.silver_orders).filter(own | F.col("event_date").isNull() if None in dates else own)
 
 
+def forget(spark: SparkSession, lake: T.Lake) -> None:
+    """Drop what was kept about a Silver that no longer exists (its index, feed, journal and Gold state)."""
+    for path in (lake.journal, lake.changes, lake.index(KEY_INDEX), lake.gold_state()):
+        T.delete_path(spark, path.rstrip("/"))
+
+
 # ------------------------------------------------------------------ merge
 
 

@@ -15,6 +15,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+# Names, types and order of every layer's columns. Column lists follow from the schemas.
+
 # Raw invoice lines (the 8 projected source columns).
 SOURCE_LINE_COLUMNS = [
     "InvoiceNo",
@@ -27,25 +29,6 @@ SOURCE_LINE_COLUMNS = [
     "Country",
 ]
 
-LANDING_COLUMNS = [
-    "order_id",
-    "invoice_no",
-    "stock_code",
-    "customer_id",
-    "product_id",
-    "product_name",
-    "order_status",
-    "quantity",
-    "unit_price",
-    "currency",
-    "channel",
-    "country",
-    "is_cancellation",
-    "event_time",
-    "updated_at",
-    "source_system",
-]
-
 LANDING_SCHEMA = StructType(
     [
         StructField("order_id", StringType()),
@@ -67,34 +50,11 @@ LANDING_SCHEMA = StructType(
     ]
 )
 
+LANDING_COLUMNS = LANDING_SCHEMA.names
+
 BRONZE_EXTRA_COLUMNS = ["raw_payload", "source_file", "batch_id", "ingested_at", "event_date"]
 BRONZE_COLUMNS = LANDING_COLUMNS + BRONZE_EXTRA_COLUMNS
 
-SILVER_COLUMNS = [
-    "order_id",
-    "invoice_no",
-    "stock_code",
-    "customer_id",
-    "product_id",
-    "product_name",
-    "order_status",
-    "quantity",
-    "unit_price",
-    "currency",
-    "channel",
-    "country",
-    "is_cancellation",
-    "event_time",
-    "updated_at",
-    "source_system",
-    "source_file",
-    "bronze_batch_id",
-    "bronze_ingested_at",
-    "event_date",
-    "order_amount",
-    "silver_updated_at",
-]
-
 SILVER_SCHEMA = StructType(
     [
         StructField("order_id", StringType()),
@@ -122,6 +82,8 @@ SILVER_SCHEMA = StructType(
     ]
 )
 
+SILVER_COLUMNS = SILVER_SCHEMA.names
+
 # Clock columns: differ on every run, left out of comparisons.
 CLOCK_COLUMNS = {"ingested_at", "bronze_ingested_at", "silver_updated_at", "gold_updated_at", "rejected_at"}
 
@@ -136,20 +98,6 @@ RUN_LOG_SCHEMA = StructType(
     ]
 )
 
-DQ_RESULT_COLUMNS = [
-    "run_id",
-    "check_name",
-    "table_name",
-    "severity",
-    "status",
-    "failed_count",
-    "total_count",
-    "failure_rate",
-    "description",
-    "failure_expression",
-    "created_at",
-]
-
 DQ_RESULT_SCHEMA = StructType(
     [
         StructField("run_id", StringType()),
@@ -166,4 +114,18 @@ DQ_RESULT_SCHEMA = StructType(
     ]
 )
 
+DQ_RESULT_COLUMNS = DQ_RESULT_SCHEMA.names
+
+# Arrivals that did not become rows of Silver, with the reason and their text.
+QUARANTINE_SCHEMA = StructType(
+    [
+        StructField("run_id", StringType()),
+        StructField("reason", StringType()),
+        StructField("batch_id", StringType()),
+        StructField("source_file", StringType()),
+        StructField("record", StringType()),
+        StructField("quarantined_at", TimestampType()),
+    ]
+)
+
 HEALTH_COLUMNS = ["pipeline_step", "last_run_at", "last_status", "last_message"]

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from orderlake.sources.schemas import LANDING_COLUMNS, LANDING_SCHEMA
 
@@ -29,6 +30,7 @@ TABLE_LOCATIONS = {
     "ops.pipeline_run_log": "ops/pipeline_run_log",
 }
 REJECTED_LOCATION = "ops/rejected_records"
+QUARANTINE_LOCATION = "ops/quarantine"
 LANDING_LOCATION = "landing/orders"
 STAGING_LOCATION = "_staging"
 
@@ -97,6 +99,10 @@ class Lake:
     def gold_state(self, *parts: str) -> str:
         return self.path("/".join(["_gold_state", *parts]))
 
+    @property
+    def quarantine(self) -> str:
+        return self.path(QUARANTINE_LOCATION)
+
     def staging(self, *parts: str) -> str:
         return self.path("/".join([STAGING_LOCATION, *parts]))
 
@@ -118,13 +124,18 @@ def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
         return False
 
 
-def read_landing(spark: SparkSession, path: str) -> DataFrame:
+def read_landing(spark: SparkSession, path: str, corrupt: str | None = None) -> DataFrame:
     """Landing JSON lines with the explicit 16-field schema (no inference pass).
 
-    Reading the landing root also yields the ``event_date``/``batch_id`` folder
-    columns; Bronze replaces both, and the payload is built from the 16 fields only.
+    Reading the landing root also yields the ``event_date``/``batch_id`` folder columns; Bronze replaces
+    both, and the payload is built from the 16 fields only. ``corrupt`` names a column for the text of
+    lines that are no such record (their 16 fields are NULL).
     """
-    return spark.read.schema(LANDING_SCHEMA).option("mode", "PERMISSIVE").json(path)
+    reader = spark.read.option("mode", "PERMISSIVE")
+    if corrupt is None:
+        return reader.schema(LANDING_SCHEMA).json(path)
+    schema = StructType([*LANDING_SCHEMA.fields, StructField(corrupt, StringType())])
+    return reader.schema(schema).option("columnNameOfCorruptRecord", corrupt).json(path)
 
 
 # ------------------------------------------------------------------ writes
@@ -247,27 +258,64 @@ def read_small(spark: SparkSession, path: str) -> str:
 
 
 def publish(spark: SparkSession, lake: Lake, catalog_prefix: str = "") -> DataFrame:
-    """K8: register the layer tables in the catalog as EXTERNAL tables over their paths.
-
-    No data is copied (the reference saves managed copies). ``rejected_records`` is
-    not published, as in the reference. Returns ``SHOW TABLES`` of the gold schema.
+    """K8: register the layer tables in the catalog as EXTERNAL tables.
+
+    Bronze, Silver and the ops tables are registered over their paths, without a copy. A Gold table, which
+    is small and replaced as a whole, is written to a folder of its own for each publication; switching the
+    table's location to it is the last step, so a reader sees the table before or the table after, never
+    a half-written one, and a publication that dies leaves the old one. The folder before the current one is
+    kept for readers at work. ``rejected_records`` is not published, as in the reference. Returns ``SHOW
+    TABLES`` of the gold schema.
     """
     fmt = lake.format
-    schemas = sorted({name.split(".")[0] for name in TABLE_LOCATIONS})
-    for schema in schemas:
+    for schema in sorted({name.split(".")[0] for name in TABLE_LOCATIONS}):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {catalog_prefix}{schema}")
     for name, relative in TABLE_LOCATIONS.items():
         path = lake.path(relative)
         if not table_exists(spark, path, fmt):
             continue
         full = f"{catalog_prefix}{name}"
-        spark.sql(f"DROP TABLE IF EXISTS {full}")
-        spark.catalog.createTable(full, path=path, source=fmt)
+        if name.startswith("gold.") and fmt == "parquet":
+            publish_version(spark, full, read_table(spark, path, fmt), lake.path(f"_published/{name}"))
+            continue
+        if not spark.catalog.tableExists(full):
+            spark.catalog.createTable(full, path=path, source=fmt)
+        switch_location(spark, full, path)
         if fmt == "parquet" and _is_partitioned(spark, full):
-            spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
+            # partitions come and go with merges: drop those whose folder is gone, add the new ones
+            spark.sql(f"MSCK REPAIR TABLE {full} SYNC PARTITIONS")
     return spark.sql(f"SHOW TABLES IN {catalog_prefix}gold")
 
 
+def publish_version(spark: SparkSession, table: str, df: DataFrame, folder: str) -> str:
+    """Replace an external table by ``df``: write a new version beside the old ones, then switch to it."""
+    names = [n for n in list_names(spark, folder) if n.startswith("version=")]
+    version = max((int(n.removeprefix("version=")) for n in names), default=0) + 1
+    path = f"{folder}/version={version:012d}"
+    df.write.mode("overwrite").parquet(path)
+    if spark.catalog.tableExists(table):
+        before = table_location(spark, table)
+        switch_location(spark, table, path)
+    else:
+        before = None
+        spark.catalog.createTable(table, path=path, source="parquet")
+    for name in names:
+        if before is None or not before.rstrip("/").endswith(name):
+            delete_path(spark, f"{folder}/{name}")
+    return path
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
+def switch_location(spark: SparkSession, table: str, path: str) -> None:
+    """Point an external table to another folder."""
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(table)
+
+
 def _is_partitioned(spark: SparkSession, table: str) -> bool:
     try:
         return any(c.isPartition for c in spark.catalog.listColumns(table))
