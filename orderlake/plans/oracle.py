@@ -450,6 +450,25 @@ broken AS (
 )
 
 
+LAKE = (
+    LINES,
+    FAULTY,
+    events("faulty", "lev"),
+    """
+lbr AS (
+  SELECT *, '' AS source_file, CASE WHEN substr(updated_at, 1, 10) < '1998-06-01' THEN 'lake-1' ELSE 'lake-2' END AS batch_id,
+         TRY_CAST(substr(event_time, 1, 10) AS DATE) AS event_date
+  FROM lev
+)""",
+    typed("lbr", "lty"),
+    stage("(SELECT * FROM lty WHERE batch_id = 'lake-1')", "lload1", "order_id"),
+    stage("(SELECT * FROM lty WHERE batch_id = 'lake-2')", "lload2", "order_id"),
+    _merge("lload1", "lload2", SILVER_OUT, ["order_id"]),
+    """
+silver AS (SELECT * FROM merged)""",
+)
+
+
 def _numbered(select: str, order: str) -> str:
     return f"SELECT *, CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS row_num FROM ({select})"
 
@@ -587,6 +606,40 @@ SELECT CAST(sum(CASE WHEN is_cancellation THEN line_count ELSE 0 END) AS DOUBLE)
        CAST(sum(CASE WHEN is_cancellation THEN line_count ELSE 0 END) AS BIGINT) AS cancelled_lines,
        CAST(sum(line_count) AS BIGINT) AS line_count
 FROM ({GOLD_STATUS.format(src='silver')})"""
+    lake = _with(*LAKE)
+    q["lake_landing"] = lake + f"\nSELECT {', '.join(LANDING)}, batch_id FROM lbr"
+    q["lake_bronze"] = lake + f"\nSELECT {', '.join(LANDING)}, batch_id, event_date FROM lbr"
+    q["lake_batch"] = lake + f"\nSELECT {', '.join(LANDING)}, event_date FROM lbr WHERE batch_id = 'lake-2'"
+    q["lake_silver"] = lake + f"\nSELECT {', '.join(c for c in SILVER_OUT if c != 'source_file')} FROM silver"
+    flagged = f"""
+lfs AS (SELECT *, count(*) OVER (PARTITION BY order_id) > 1 AS __duplicate_order_id FROM silver),
+lagg AS (SELECT {_count_ifs()}, count(*) AS total FROM lfs)"""
+    q["lake_dq_results"] = _with(*LAKE, flagged) + "\n" + results_from("lagg", "'lake-2'")
+    q["lake_rejected"] = _with(*LAKE, flagged) + "\n" + "\nUNION ALL\n".join(
+        f"SELECT order_id, invoice_no, stock_code, quantity, unit_price, country, 'lake-2' AS run_id, '{name}' AS check_name, '{severity}' AS severity FROM lfs WHERE {predicate}"
+        for name, severity, _, _, predicate in CHECKS
+    )
+    critical = " + ".join(f"f{i}" for i, (_, severity, *_) in enumerate(CHECKS) if severity == "critical")
+    q["lake_run_log"] = _with(*LAKE, flagged) + f"""
+SELECT batch_id AS run_id, 'bronze_orders' AS pipeline_step, 'success' AS status, count(*) AS row_count FROM lbr GROUP BY batch_id
+UNION ALL SELECT 'lake-1', 'silver_orders', 'success', count(*) FROM lload1
+UNION ALL SELECT 'lake-2', 'silver_orders', 'success', count(*) FROM lload2
+UNION ALL SELECT 'lake-2', 'quality_checks', CASE WHEN {critical} > 0 THEN 'failed' ELSE 'success' END, 7 FROM lagg
+UNION ALL SELECT 'lake-1', 'gold_aggregates', 'success', 2 + count(DISTINCT event_date) + count(DISTINCT (product_id, product_name)) + count(DISTINCT country) + count(DISTINCT (order_status, is_cancellation)) FROM lload1
+UNION ALL SELECT 'lake-2', 'gold_aggregates', 'success', 5 + count(DISTINCT event_date) + count(DISTINCT (product_id, product_name)) + count(DISTINCT country) + count(DISTINCT (order_status, is_cancellation)) FROM silver"""
+    for name, select in rebuilt.items():
+        q[f"lake_gold_{name}"] = lake + select.format(src="silver")
+    for name in ("kpis", "daily_trend", "country", "top_products", "order_status"):
+        q[f"catalog_{name}"] = lake + q[f"report_{name}"].removeprefix(silver_gold)
+    q["catalog_health"] = _with(*LAKE, flagged) + f"""
+SELECT *, CAST(row_number() OVER (ORDER BY pipeline_step) AS INTEGER) AS row_num FROM (
+  SELECT step AS pipeline_step, status AS last_status, CASE status WHEN 'success' THEN 1 ELSE 0 END AS success_flag
+  FROM (
+    SELECT unnest(['bronze_orders', 'silver_orders', 'gold_aggregates']) AS step, 'success' AS status
+    UNION ALL SELECT 'quality_checks', CASE WHEN {critical} > 0 THEN 'failed' ELSE 'success' END FROM lagg
+    UNION ALL SELECT 'data_quality_summary', CASE WHEN {" + ".join(f"f{i}" for i in range(len(CHECKS)))} > 0 THEN 'failed' ELSE 'success' END FROM lagg
+  )
+)"""
     q["change_classes"] = CHANGE_CLASSES
     q["backfill_range"] = _with(
         *BACKFILL,

@@ -11,8 +11,8 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from orderlake.plans.all_queries import QUERIES
 from orderlake.plans.oracle import oracle_sql
-from orderlake.plans.registry import QUERIES
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
