@@ -1,6 +1,7 @@
 """Queries on tables that the jobs wrote from the given tables, read back by path or through the catalog.
 
-All faulty lines land as JSON in two batches, before and from the cutover; each is ingested, merged into
+All faulty lines, billed on the first day of their month (so the tables have some eighty date partitions, not
+thousands of tiny ones), land as JSON in two batches, before and from the cutover; each is ingested, merged into
 Silver and taken into Gold (the second by the change feed), the quality checks run once, and everything is
 published. The lake is written to the shared folder once for a session and set of tables; the queries only
 read. Clock columns and paths are left out.
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from orderlake.plans import catalog_reports as cr
 from orderlake.plans import jobs
 from orderlake.plans import registry as R
+from orderlake.plans import silver_merge as sm
 from orderlake.session import ensure_checkpoint_dir
 from orderlake.sources import tables as T
 from orderlake.sources.schemas import LANDING_COLUMNS
@@ -44,7 +46,8 @@ def written_lake(spark: SparkSession, sf: str) -> tuple[T.Lake, str]:
 
 
 def _write(spark: SparkSession, sf: str, lake: T.Lake, prefix: str) -> None:
-    ev = R.events(spark, sf, R.faulty_lines(spark, sf))
+    billed = R.faulty_lines(spark, sf).withColumn("InvoiceDate", F.date_trunc("month", "InvoiceDate").cast("timestamp_ntz"))
+    ev = R.events(spark, sf, billed)
     cut = F.lit(R.MERGE_CUTOVER).cast("date")
     batch = F.when(F.substring("updated_at", 1, 10).cast("date") < cut, F.lit(BATCHES[0])).otherwise(F.lit(BATCHES[1]))
     T.write_landing(ev, lake, cut, batch)
@@ -71,8 +74,6 @@ def lake_bronze(spark: SparkSession, sf: str) -> DataFrame:
 
 def lake_batch(spark: SparkSession, sf: str) -> DataFrame:
     """L2: the second batch's rows, from the partitions that the batch index names."""
-    from orderlake.plans import silver_merge as sm
-
     lake, _ = written_lake(spark, sf)
     return sm.bronze_of_batches(spark, lake, [BATCHES[1]]).select(*LANDING_COLUMNS, "event_date")
 

@@ -453,7 +453,9 @@ broken AS (
 LAKE = (
     LINES,
     FAULTY,
-    events("faulty", "lev"),
+    """
+billed AS (SELECT * REPLACE (date_trunc('month', InvoiceDate) AS InvoiceDate) FROM faulty)""",
+    events("billed", "lev"),
     """
 lbr AS (
   SELECT *, '' AS source_file, CASE WHEN substr(updated_at, 1, 10) < '1998-06-01' THEN 'lake-1' ELSE 'lake-2' END AS batch_id,
