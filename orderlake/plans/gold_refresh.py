@@ -17,6 +17,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from orderlake.operators import gold_delta as D
 from orderlake.plans import silver_merge as sm
@@ -39,16 +40,20 @@ def _reference_path(lake: T.Lake, table: str, load: str) -> str:
     return lake.gold_state("references", table, f"load={load}")
 
 
-def references_of(spark: SparkSession, lake: T.Lake, table: D.GoldTable, numbers: list[str], buckets: list[int] | None = None) -> DataFrame | None:
+def _kept(spark: SparkSession, references: DataFrame, path: str) -> DataFrame:
+    """Write references by bucket and read them back; no rows leave no files, so the schema is told."""
+    T.overwrite(references, path, partition_by="bucket")
+    return spark.read.schema(references.schema).parquet(path)
+
+
+def references_of(spark: SparkSession, lake: T.Lake, table: D.GoldTable, numbers: list[str], schema: StructType, buckets: list[int] | None = None) -> DataFrame | None:
     """References of some loads, in all buckets or only in those that are named (a partition filter)."""
-    paths = [p for n in numbers if T.path_exists(spark, p := _reference_path(lake, table.name, n))]
-    if not paths:
-        return None
     out = None
-    for path in paths:  # each load is a table of its own, partitioned by bucket; at most FOLD of them
-        part = spark.read.parquet(path)
-        part = part if buckets is None else part.filter(part["bucket"].isin(buckets))
-        out = part if out is None else out.unionByName(part)
+    for path in (_reference_path(lake, table.name, n) for n in numbers):  # each a table of its own, partitioned by bucket; at most FOLD of them
+        if T.path_exists(spark, path):
+            part = spark.read.schema(schema).parquet(path)
+            part = part if buckets is None else part.filter(part["bucket"].isin(buckets))
+            out = part if out is None else out.unionByName(part)
     return out
 
 
@@ -96,8 +101,7 @@ def _build(spark: SparkSession, lake: T.Lake, load: int) -> dict:
     for table in D.GOLD_TABLES:
         deltas = D.reference_deltas(table, inserts)
         path = _reference_path(lake, table.name, str(version))
-        T.overwrite(deltas, path, partition_by="bucket")
-        D.next_state(table, inserts, deltas=spark.read.parquet(path)).write.mode("overwrite").parquet(_state_path(lake, version, table.name))
+        D.next_state(table, inserts, deltas=_kept(spark, deltas, path)).write.mode("overwrite").parquet(_state_path(lake, version, table.name))
     return _commit(spark, lake, version, load, [str(version)])
 
 
@@ -108,12 +112,11 @@ def _advance(spark: SparkSession, lake: T.Lake, commit: dict, new: list[int]) ->
     fold = len(numbers) > FOLD
     for table in D.GOLD_TABLES:
         path = _reference_path(lake, table.name, str(version))
-        T.overwrite(D.reference_deltas(table, signed), path, partition_by="bucket")
-        deltas = spark.read.parquet(path)
-        before = references_of(spark, lake, table, commit["references"], D.touched_buckets(deltas))
+        deltas = _kept(spark, D.reference_deltas(table, signed), path)
+        before = references_of(spark, lake, table, commit["references"], deltas.schema, D.touched_buckets(deltas))
         state = spark.read.parquet(_state_path(lake, commit["version"], table.name))
         D.next_state(table, signed, state, before, deltas).write.mode("overwrite").parquet(_state_path(lake, version, table.name))
         if fold:
-            whole = references_of(spark, lake, table, numbers)
-            T.overwrite(D.fold_references(table, whole), _reference_path(lake, table.name, f"{version}-folded"), partition_by="bucket")
+            whole = references_of(spark, lake, table, numbers, deltas.schema)
+            _kept(spark, D.fold_references(table, whole), _reference_path(lake, table.name, f"{version}-folded"))
     return _commit(spark, lake, version, new[-1], [f"{version}-folded"] if fold else numbers)
