@@ -2,10 +2,10 @@
 
 A text's features are the character n-grams (1 to 4, with word borders) and whole forms of its
 lower-cased words, hashed to ``BUCKETS`` rows of an embedding table. Their average goes through a linear
-softmax. Both layers are trained by stochastic gradient descent in numpy on a bounded sample: at most
-``PER_LANGUAGE`` labelled documents of each of the ``LANGUAGES`` most frequent labels, each once whole
-and once as a few words in a row, so that short texts are learned too. A fifth of the sample is held
-back to calibrate: one temperature scales the scores.
+softmax. Both layers are trained by stochastic gradient descent in numpy, in one task, on a bounded sample:
+at most ``PER_LANGUAGE`` labelled documents of each label (of all labels; with many of them fewer of each,
+``SAMPLE`` in all but ``LEAST`` of each), each once whole and once as a few words in a row, so that short
+texts are learned too. A fifth of the sample is held back to calibrate: one temperature scales the scores.
 
 A prediction is rejected by either of two bounds that depend on the length of the text. Its score must
 reach what all but one in ``REJECT_ONE_IN`` held-back texts of its class of length (``LENGTHS`` words)
@@ -15,8 +15,9 @@ whole texts, where the deviation is that between texts and that between words ov
 This second bound is an estimate of medians and deviations, so it does not move with the size of the
 sample; it rejects languages that were not learned and strings of letters, which may have any score.
 
-Since averaging and the softmax's input are linear, a prediction sums one row of scores for each word;
-words are worked out once for each batch. Every text is read whole.
+A prediction sums one vector of ``SIZE`` numbers for each word; the distinct words of a batch are worked out
+once, ``CALL`` at a time. Neither this nor the model grows with the number of labels by more than ``SIZE``
+numbers each. Every text is read whole; only texts go to Python, and only the answers come back.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0 and rejected; a null
 id counts as not held out; without labelled documents everything is ``und``; repeated rows give equal
@@ -26,6 +27,7 @@ rows; no rows, no result. Where the input has a column of a result's name, the r
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -42,12 +44,15 @@ from orderlake.llm.words import group_sums, mix, multipliers, slices, words
 BUCKETS = 1 << 15
 SIZE = 16
 GRAMS = 4
-PER_LANGUAGE = 400
-LANGUAGES = 256
+PER_LANGUAGE, SAMPLE, LEAST = 400, 20_000, 50
 EPOCHS = 3
+#: With more labels than this there are more epochs in proportion, up to a number of steps.
+MORE_LABELS, MOST_STEPS = 8, 6000
 BATCH = 32
 RATE = 0.5
 SHORT = 12
+#: Largest factor (otherwise the number of labels) of the step of embeddings, which are averaged over a whole text.
+STEP = 16
 REJECT_ONE_IN = 1000
 #: Words at which the classes of length begin.
 LENGTHS = (1, 4, 16)
@@ -58,6 +63,8 @@ BETWEEN, WITHIN = 0.02, 0.1
 KNOWN_BITS = 22
 AROUND = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 SEED = 20
+#: Words worked out at once.
+CALL = 1 << 13
 
 UNKNOWN = "und"
 
@@ -125,18 +132,31 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class LanguageModel:
-    """Scores of each bucket for each language, temperature, and what bounds rejection."""
+    """Embeddings, softmax layer, temperature, and what bounds rejection."""
 
     languages: list[str]
-    table: np.ndarray  # buckets x languages
+    table: np.ndarray  # buckets x SIZE
+    out: np.ndarray  # languages x SIZE
     bias: np.ndarray
     temperature: float
     bounds: np.ndarray  # of scores, for each class of length
     known: np.ndarray  # bits of the known subwords
     share: tuple[float, float, float]  # of known subwords: median, deviation between texts, between words
 
-    def scores(self, logits: np.ndarray) -> np.ndarray:
-        return _softmax((logits + self.bias) / self.temperature)
+    def scores(self, average: np.ndarray) -> np.ndarray:
+        return _softmax((average @ self.out.T + self.bias) / self.temperature)
+
+    def word_sums(self, found: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Sum of each word's embeddings, how many they are, share of known subwords, and whether it has any."""
+        sums = np.zeros((len(found), SIZE), np.float32)
+        count, share, any_ = np.zeros(len(found), np.int64), np.zeros(len(found)), np.zeros(len(found))
+        for k in range(0, len(found), CALL):
+            some = found[k : k + CALL]
+            code, n = word_features(some)
+            sums[k : k + CALL] = np.add.reduceat(self.table[code], np.concatenate(([0], np.cumsum(n)[:-1])), axis=0)
+            count[k : k + CALL] = n
+            share[k : k + CALL], any_[k : k + CALL] = known_shares(some, self.known)
+        return sums, count, share, any_
 
     def rejects(self, score: np.ndarray, share: np.ndarray, count: np.ndarray) -> np.ndarray:
         """By score and share of known subwords of texts of so many words."""
@@ -170,7 +190,7 @@ def train(texts: list[str], labels: list[str]) -> LanguageModel | None:
         for part in (split, split[at : at + 1 + int(draw.integers(SHORT))]):
             if any(c.isalpha() for w in part for c in w):
                 code, _ = word_features(part)
-                features.append(code)
+                features.append(code.astype(np.uint16))
                 sizes.append(len(code))
                 target.append(languages.index(label))
                 kept_back.append(back)
@@ -190,8 +210,10 @@ def train(texts: list[str], labels: list[str]) -> LanguageModel | None:
         return code, np.repeat(np.arange(len(own)), n[own]), np.add.reduceat(table[code], starts, axis=0) / n[own][:, None]
 
     fit = np.flatnonzero(~back)
-    steps, step = EPOCHS * -(-len(fit) // BATCH), 0
-    for _ in range(EPOCHS):
+    per_epoch = -(-len(fit) // BATCH)
+    epochs = EPOCHS * max(1, min(len(languages) // MORE_LABELS, MOST_STEPS // (EPOCHS * per_epoch)))
+    steps, step = epochs * per_epoch, 0
+    for _ in range(epochs):
         for own in np.array_split(draw.permutation(fit), -(-len(fit) // BATCH)):
             rate = RATE * (1 - step / steps)
             code, who, x = averages(own)
@@ -201,7 +223,7 @@ def train(texts: list[str], labels: list[str]) -> LanguageModel | None:
             weight = step_x[who]
             used, back_to = np.unique(code, return_inverse=True)
             for k in range(SIZE):
-                table[used, k] -= rate * len(languages) * np.bincount(back_to, weights=weight[:, k], minlength=len(used))
+                table[used, k] -= rate * min(len(languages), STEP) * np.bincount(back_to, weights=weight[:, k], minlength=len(used))
             out -= rate * (p.T @ x)
             bias -= rate * p.sum(axis=0) / len(own)
             step += 1
@@ -225,22 +247,28 @@ def train(texts: list[str], labels: list[str]) -> LanguageModel | None:
             shares.append(hit.sum() / max(all_.sum(), 1))
         deviations.append(np.std(hit[all_ > 0]) if n_words > 1 else 0.0)
     spread = (float(np.median(shares)), max(BETWEEN, _deviation(np.array(shares))), max(WITHIN, float(np.median(deviations))))
-    return LanguageModel(languages, table @ out.T, bias, temperature, bounds, known, spread)
+    return LanguageModel(languages, table, out, bias, temperature, bounds, known, spread)
 
 
 def fit(docs: DataFrame, label_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", per_language: int = PER_LANGUAGE) -> LanguageModel | None:
-    """Train on the labelled documents with the smallest hashes, ``per_language`` of each label at most."""
+    """Train on the labelled documents with the smallest hashes, of each label ``per_language`` at most, or a share of ``SAMPLE``, but ``LEAST``."""
     labelled = docs.select(F.col(label_col).alias("label"), F.col(text_col).alias("text"), F.xxhash64(id_col, F.lit(SEED)).alias("h")).filter("label is not null and text is not null")
-    counts = {r["label"]: r["count"] for r in labelled.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LANGUAGES).collect()}
-    if not counts:
-        return None
+    counts = labelled.groupBy("label").agg(F.count("*").alias("n"))
+    take = counts.agg(F.least(F.lit(per_language), F.greatest(F.lit(LEAST), F.floor(F.lit(SAMPLE) / F.greatest(F.count("*"), F.lit(1)))))).scalar()
     # a first cut by the hash, so that few texts move; it holds twice what is taken from it
-    share = F.create_map(*[F.lit(x) for label, n in counts.items() for x in (label, min(1.0, 2 * per_language / n))])
-    some = labelled.filter(F.col("label").isin(list(counts))).filter((F.col("h") / F.lit(2.0**64) + 0.5) < F.element_at(share, F.col("label")))
+    sized = labelled.join(counts, "label").withColumn("take", take)
+    some = sized.filter((F.col("h") / F.lit(2.0**64) + 0.5) * F.col("n") < 2 * F.col("take"))
     few = Window.partitionBy("label").orderBy("h", F.xxhash64("text"))
-    sample = some.withColumn("n", F.row_number().over(few)).filter(F.col("n") <= per_language).select("label", "h", "text").collect()
-    sample = sorted(sample, key=lambda r: (r["label"], r["h"], r["text"]))
-    return train([r["text"] for r in sample], [r["label"] for r in sample])
+    sample = some.withColumn("place", F.row_number().over(few)).filter("place <= take").select("label", "h", "text")
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("label", "h", "text")), strict=True))
+        model = train([r[2] for r in rows], [r[0] for r in rows])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    # the sample is bounded by the labels; it stays in one task, and the model (a few MB) comes to the driver
+    learned = sample.repartition(1).mapInArrow(learn, "model binary").collect()
+    return pickle.loads(learned[0]["model"]) if learned else None
 
 
 def identify(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
@@ -251,41 +279,47 @@ def identify(docs: DataFrame, model: LanguageModel | None, text_col: str = "text
         while name in kept:
             name = f"language_id_{name}"
         names_out.append(name)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most BUCKETS x LANGUAGES numbers
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    answer = "language_id"
+    while answer in [*kept, *names_out]:
+        answer += "_"
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x SIZE numbers, and SIZE for each label
+
+    def predicted(text: pa.Array, model: LanguageModel | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        rows = len(text)
+        best, score, letters, odd = np.zeros(rows, np.int64), np.zeros(rows), np.zeros(rows, bool), np.zeros(rows, bool)
+        w = words(text)
+        if len(w.starts):
+            codes, distinct = pd.factorize(w.hashes())
+            sample = np.zeros(len(distinct), np.int64)
+            sample[codes[::-1]] = np.arange(len(codes))[::-1]
+            raw = w.data.tobytes()
+            own = [raw[a:b].decode() for a, b in zip(w.starts[sample].tolist(), w.ends[sample].tolist(), strict=True)]
+            size = np.diff(w.first)
+            count = group_sums(np.array([any(map(str.isalpha, t)) for t in own], np.int64)[codes], size)
+            letters = count > 0
+            if model is not None:
+                sums, n, share, any_ = model.word_sums(own)
+                average = np.stack([group_sums(sums[codes, j].astype(np.float64), size) for j in range(SIZE)], axis=1)
+                p = model.scores(average / np.maximum(group_sums(n[codes], size), 1)[:, None])
+                best, score = p.argmax(axis=1), p.max(axis=1)
+                odd = model.rejects(score, group_sums(share[codes], size) / np.maximum(group_sums(any_[codes], size), 1), count)
+        sure = letters & (model is not None)
+        names = np.array([*(model.languages if model is not None else []), UNKNOWN], object)
+        return names[np.where(sure, best, len(names) - 1)], np.where(sure, score, 0.0), ~sure | odd
+
+    @F.arrow_udf("label string, score double, rejected boolean")
+    def judge(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
-        for batch in batches:
-            for part in slices(batch, text_col):
-                rows = part.num_rows
-                best, score, letters, odd = np.zeros(rows, np.int64), np.zeros(rows), np.zeros(rows, bool), np.zeros(rows, bool)
-                w = words(part.column(text_col))
-                if len(w.starts):
-                    codes, distinct = pd.factorize(w.hashes())
-                    sample = np.zeros(len(distinct), np.int64)
-                    sample[codes[::-1]] = np.arange(len(codes))[::-1]
-                    text = w.data.tobytes()
-                    own = [text[a:b].decode() for a, b in zip(w.starts[sample].tolist(), w.ends[sample].tolist(), strict=True)]
-                    count = group_sums(np.array([any(map(str.isalpha, t)) for t in own], np.int64)[codes], np.diff(w.first))
-                    letters = count > 0
-                    if model is not None:
-                        feature, n = word_features(own)
-                        starts = np.concatenate(([0], np.cumsum(n)[:-1]))
-                        sums = np.add.reduceat(model.table[feature].astype(np.float64), starts, axis=0)
-                        logits = np.stack([group_sums(sums[codes, j], np.diff(w.first)) for j in range(sums.shape[1])], axis=1)
-                        p = model.scores(logits / np.maximum(group_sums(n[codes], np.diff(w.first)), 1)[:, None])
-                        best, score = p.argmax(axis=1), p.max(axis=1)
-                        hit, all_ = (group_sums(x[codes], np.diff(w.first)) for x in known_shares(own, model.known))
-                        odd = model.rejects(score, hit / np.maximum(all_, 1), count)
-                sure = letters & (model is not None)
-                names = np.array([*(model.languages if model is not None else []), UNKNOWN], object)
-                label = names[np.where(sure, best, len(names) - 1)]
-                score = np.where(sure, score, 0.0)
-                rejected = ~sure | odd
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(label, pa.string()), pa.array(score), pa.array(rejected)], names=[*kept, *names_out])
-
-    fields = [*docs.schema.fields, *docs.sparkSession.createDataFrame([], "{} string, {} double, {} boolean".format(*names_out)).schema.fields]
-    return docs.mapInArrow(run, type(docs.schema)(fields))
+        for column in texts:
+            parts = [np.zeros(0, object)], [np.zeros(0)], [np.zeros(0, bool)]
+            for piece in slices(pa.RecordBatch.from_arrays([column], names=["text"]), "text"):
+                for all_, some in zip(parts, predicted(piece.column("text"), model), strict=True):
+                    all_.append(some)
+            label, score, rejected = (np.concatenate(p) for p in parts)
+            yield pa.StructArray.from_arrays([pa.array(label, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())], names=["label", "score", "rejected"])
+
+    told = docs.withColumn(answer, judge(F.col(text_col)))
+    return told.select(*[F.col(f"`{c}`") for c in kept], *[F.col(f"`{answer}`.{f}").alias(n) for f, n in zip(("label", "score", "rejected"), names_out, strict=True)])
 
 
 def held_out(id_col: str = "doc_id") -> Column:
