@@ -17,6 +17,7 @@ table passes all stages.
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
 import public_tokenizers
@@ -31,6 +32,8 @@ from orderlake.llm.storage import new_folder
 from orderlake.llm.surrogates import replace_entities
 from orderlake.llm.templates import contamination
 
+#: Session setting with the key of the surrogates. Who knows the key can work surrogates out from a list of names.
+SURROGATE_KEY = "spark.orderlake.surrogates.key"
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -49,13 +52,22 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc", "th").distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("doc")) & (F.xxhash64("text") == F.col("th")), "left_anti")
+    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc").alias("__found_doc"), F.col("th").alias("__found_text")).distinct()
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__found_doc")) & (F.xxhash64("text") == F.col("__found_text")), "left_anti")
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return replace_entities(docs).withColumn("n_chars", F.when(F.col("pii_entities") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    replaced = replace_entities(docs, key=surrogate_key(spark))
+    count = replaced.columns[-1]
+    if "n_chars" in docs.columns:
+        replaced = replaced.withColumn("n_chars", F.when(F.col(count) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return replaced.select(*docs.columns)
+
+
+def surrogate_key(spark: SparkSession) -> str:
+    """The session's key for surrogates; without one, a key of this run that nobody keeps."""
+    return spark.conf.get(SURROGATE_KEY, None) or secrets.token_hex(32)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -258,10 +258,14 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rows = grouped.groupBy("doc", "th").agg(F.count("*").alias("rows"), F.min("least").alias("least"))
     gone = F.col("least").isNotNull() & ~(F.col("least.doc").eqNullSafe(F.col("doc")) & (F.col("least.th") == F.col("th")))
     twice = (F.col("rows") > 1) & (F.col("doc").isNotNull() | F.col("least").isNotNull())
-    marks = rows.select(F.col("doc").alias("near_doc"), F.col("th").alias("near_th"), F.when(gone, "gone").when(twice, "twice").alias("near_mark")).filter("near_mark is not null")
-    marked = docs.join(marks, F.col(id_col).cast("long").eqNullSafe(F.col("near_doc")) & (F.xxhash64(text_col) == F.col("near_th")), "left")
-    once = marked.filter("near_mark is null").select(*docs.columns)
-    return once.unionByName(marked.filter("near_mark = 'twice'").dropDuplicates([id_col, text_col]).select(*docs.columns))
+    marks = rows.select(F.col("doc").alias("d"), F.col("th").alias("t"), F.when(gone, "gone").when(twice, "twice").alias("mark")).filter("mark is not null")
+    # the columns of the input under numbers, so that no name clashes
+    own = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    numbered = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()])
+    marked = numbered.join(marks, F.col(own[id_col]).cast("long").eqNullSafe(F.col("d")) & (F.xxhash64(own[text_col]) == F.col("t")), "left")
+    named = [F.col(n).alias(c) for c, n in own.items()]
+    once = marked.filter("mark is null").select(*named)
+    return once.unionByName(marked.filter("mark = 'twice'").dropDuplicates([own[id_col], own[text_col]]).select(*named))
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,15 +13,19 @@ become letters of their script (vowels vowels, consonants consonants in names),
 check digits of cards and IBANs, and ranges stay valid; given names end by the gender of their title. All
 distinct entities are drawn together and checked by joins: an entity whose surrogate another one has
 already, or that is itself an entity of the data, draws again, until all are distinct. So different
-entities keep different surrogates and no surrogate is a real value. Every mention is then written in its
-own format: case and separators stay.
+entities keep different surrogates and no surrogate is a real value. Names and addresses grow by a letter if
+they draw often; a format of fixed length may have too few values (four octets of one digit are 10,000): if an
+entity of it has drawn ``ROUNDS`` times, all entities of its format take the value of the next one in an
+order by keyed hash. They stay distinct, but are real values then. Every mention is written in its own format:
+case and separators stay.
 
-Only documents with a digit of any script, ``@``, a title or the beginning of a secret are scanned and
-joined; all others hold nothing that the patterns find and pass.
+Texts go to Python once. Only those with a digit of any script, ``@``, a title or the beginning of a secret
+are scanned for patterns; what comes back are the mentions of each text, by its hash. They are joined to their
+surrogates, put in format, and spliced into the texts by Spark.
 
 Defined results: null and empty texts stay; a null id keeps its row, and its entities are replaced too;
-repeated rows give equal rows; no rows, no result. Other columns stay as they are; columns that the
-operator needs beside them have names of their own.
+repeated rows give equal rows; no rows, no result. Other columns stay as they are; where the input has a
+column of a result's name, the result's has ``pii_`` in front.
 """
 
 from __future__ import annotations
@@ -36,15 +40,18 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from orderlake.llm.storage import cut
+from orderlake.llm.storage import cut, new_folder
 
 #: Default key; deployments pass their own.
 KEY = "surrogates"
 #: Attempts at one length; then names and addresses grow by a letter.
 SAME_LENGTH = 8
+#: Draws after which a format of fixed length counts as used up.
+ROUNDS = 12
+#: Kinds whose surrogates never grow.
+FIXED = ("ip", "ssn", "card", "phone", "iban", "secret")
 
 # Titles by gender (fixed lists in the languages of the data)
 MALE = "Mr Herr Señor Sr Don Monsieur".split()
@@ -52,9 +59,15 @@ FEMALE = "Mrs Ms Miss Frau Señora Sra Doña Madame Mme Mlle".split()
 NEUTRAL = "Dr Prof Professor Doctor".split()
 
 _TITLES = "|".join(sorted(MALE + FEMALE + NEUTRAL, key=len, reverse=True))
-#: What a document must have to hold any entity: a digit of any script (also one that Java doesn't know yet),
-#: ``@``, a title, or a secret that may be of letters only.
-CANDIDATE = rf"[\p{{Nd}}\p{{Cn}}@]|(?:{_TITLES})[. ]|AKIA|ASIA|[=:][ ]?[\"'][0-9A-Za-z+/_-]{{20}}"
+#: What a text must have to hold any entity: a digit of any script or ``@``, a title, or a secret that may be of letters only.
+_SIGN = re.compile(r"[\d@]")
+_WORDS = (*MALE, *FEMALE, *NEUTRAL, "AKIA", "ASIA")
+_QUOTED = re.compile(r"""[=:][ ]?["'][0-9A-Za-z+/_-]{20}""")
+
+
+def may_hold_entities(text: str) -> bool:
+    return _SIGN.search(text) is not None or any(w in text for w in _WORDS) or (('"' in text or "'" in text) and _QUOTED.search(text) is not None)
+
 
 _NAME = r"\p{Lu}[\p{Ll}\p{M}'’-]+"
 PATTERN = regex.compile(
@@ -270,32 +283,55 @@ def written(value: str, kind: str, new: str) -> str:
     return "".join(cased)
 
 
-def replace(text: str, table: dict[tuple[str, str], str]) -> str:
-    out, at = [], 0
-    for a, b, kind, canon in mentions(text):
-        out += [text[at:a], written(text[a:b], kind, table[kind, canon])]
-        at = b
-    return "".join([*out, text[at:]])
+def shape(kind: str, canon: str) -> str:
+    """The format of a canonical entity: entities of other formats never share a surrogate."""
+    if kind == "card":
+        return f"{len(canon)}{'v' if _luhn(canon[:-1]) == int(canon[-1]) else 'n'}"
+    if kind == "phone":
+        plus, number = canon.split("|")
+        return f"{plus}|{len(number)}"
+    head = canon[:4] if kind == "iban" or canon[:4] in ("AKIA", "ASIA") else ""
+    return head[:2] + "".join("0" if c.isdigit() else "a" if c.islower() else "A" if c.isupper() else c for c in canon)
 
 
 def draw_surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
-    """``kind``, ``canon`` and a ``surrogate`` for each: distinct, and no entity of the input."""
+    """``kind``, ``canon`` and a ``surrogate`` for each: distinct, and no entity of the input where the format has room."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             drawn = [surrogate(k, c, a, key) for k, c, a in zip(*(batch.column(n).to_pylist() for n in ("kind", "canon", "attempt")), strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("kind", "canon", "attempt")), pa.array(drawn, pa.string())], names=["kind", "canon", "attempt", "surrogate"])
 
+    def formed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds, canons = batch.column("kind").to_pylist(), batch.column("canon").to_pylist()
+            order = [hmac.new(key.encode(), f"{k}\x1f{c}".encode(), hashlib.sha256).hexdigest() for k, c in zip(kinds, canons, strict=True)]
+            shapes = [shape(k, c) for k, c in zip(kinds, canons, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("kind"), batch.column("canon"), pa.array(shapes, pa.string()), pa.array(order, pa.string())], names=["kind", "canon", "shape", "place"])
+
     schema = "kind string, canon string, attempt int, surrogate string"
+    columns = ["kind", "canon", "attempt", "surrogate"]
     known = cut(entities.select("kind", "canon").distinct())
     now = cut(known.withColumn("attempt", F.lit(0)).mapInArrow(run, schema))
     real = known.select("kind", F.col("canon").alias("surrogate"), F.lit(True).alias("real"))
+    swapped = None
     while True:
         order = Window.partitionBy("kind", "surrogate").orderBy("attempt", "canon")  # short: equal draws are chance
         checked = cut(now.withColumn("place", F.row_number().over(order)).join(real, ["kind", "surrogate"], "left").withColumn("again", F.col("real").isNotNull() | (F.col("place") > 1)))
-        if checked.filter("again").isEmpty():
-            return checked.select("kind", "canon", "surrogate")
-        columns = ["kind", "canon", "attempt", "surrogate"]
+        again = checked.filter("again")
+        if again.isEmpty():
+            done = checked.select("kind", "canon", "surrogate")
+            return done if swapped is None else done.unionByName(swapped)
+        stuck = again.filter((F.col("attempt") >= ROUNDS) & F.col("kind").isin(*FIXED))
+        if not stuck.isEmpty():
+            of_shape = "kind string, canon string, shape string, place string"
+            full = stuck.select("kind", "canon").mapInArrow(formed, of_shape).select("kind", "shape").distinct()
+            members = known.filter(F.col("kind").isin(*FIXED)).mapInArrow(formed, of_shape).join(full, ["kind", "shape"])
+            ring = Window.partitionBy("kind", "shape").orderBy("place", "canon")  # at most the values of a small format
+            first = F.first("canon").over(ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+            turned = cut(members.withColumn("surrogate", F.coalesce(F.lead("canon").over(ring), first)).select("kind", "canon", "surrogate"))
+            swapped = turned if swapped is None else swapped.unionByName(turned)
+            checked = checked.join(turned.select("kind", "canon"), ["kind", "canon"], "left_anti")
         redrawn = checked.filter("again").select("kind", "canon", (F.col("attempt") + 1).alias("attempt")).mapInArrow(run, schema)
         now = cut(checked.filter("not again").select(*columns).unionByName(redrawn))
 
@@ -311,37 +347,54 @@ def _of_one_gender(found: DataFrame, key: str) -> DataFrame:
     return named.join(table, ["kind", "same"]).select("kind", "canon", "surrogate")
 
 
-def replace_entities(docs: DataFrame, text_col: str = "text", key: str = KEY) -> DataFrame:
-    """All rows and columns with surrogates in the text, and ``pii_entities``, the number of mentions replaced."""
-    columns = docs.columns
-    maybe = F.coalesce(F.col(text_col).rlike(CANDIDATE), F.lit(False))
-    body = docs.filter(maybe)
+def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Mentions of the texts that have any, by the hash of the text."""
+    names = ["hash", "a", "b", "kind", "canon", "value"]
+    types = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string()]
+    for batch in batches:
+        rows = []
+        for text in batch.column("text"):  # one at a time: most hold nothing
+            text = text.as_py()
+            if text and may_hold_entities(text) and (found := mentions(text)):
+                own = hashlib.md5(text.encode()).hexdigest()
+                rows += [(own, a, b, kind, canon, text[a:b]) for a, b, kind, canon in found]
+            if len(rows) >= 8192:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+                rows = []
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                rows = {(x, kind, canon) for x, t in zip(batch.column("pii_hash")[k : k + 512].to_pylist(), batch.column("pii_text")[k : k + 512].to_pylist(), strict=True) for _, _, kind, canon in mentions(t)}
-                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in ((0, pa.string()), (1, pa.string()), (2, pa.string()))], names=["pii_hash", "kind", "canon"])
 
-    text_key = F.md5(F.col(text_col).cast("binary"))
-    found = cut(body.select(text_key.alias("pii_hash"), F.col(text_col).alias("pii_text")).mapInArrow(find, "pii_hash string, kind string, canon string").distinct())
-    table = _of_one_gender(found, key)
-    own = found.join(table, ["kind", "canon"]).groupBy("pii_hash").agg(F.collect_list(F.struct("kind", "canon", "surrogate")).alias("pii_table"))  # what one text holds
-    fields = [f for f in docs.schema.fields if f.name != text_col]
+def _formatted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        new = [written(v, k, s) for v, k, s in zip(*(batch.column(n).to_pylist() for n in ("value", "kind", "surrogate")), strict=True)]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("hash", "a", "b")), pa.array(new, pa.string())], names=["hash", "a", "b", "new"])
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, counts = [], []
-            for text, rows in zip(batch.column(text_col).to_pylist(), batch.column("pii_table").to_pylist(), strict=True):
-                known = {(r["kind"], r["canon"]): r["surrogate"] for r in rows or []}
-                texts.append(replace(text, known) if known else text)
-                counts.append(len(mentions(text)) if known else 0)
-            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), pa.array(texts, pa.string()), pa.array(counts, pa.int32())], names=[*(f.name for f in fields), text_col, "pii_entities"])
-
-    schema = type(docs.schema)([*fields, docs.schema[text_col]]).add("pii_entities", T.IntegerType())
-    changed = body.withColumn("pii_hash", text_key).join(own, "pii_hash", "left").drop("pii_hash").mapInArrow(write, schema)
-    rest = docs.filter(~maybe).withColumn("pii_entities", F.lit(0))
-    return changed.select(*columns, "pii_entities").unionByName(rest.select(*columns, "pii_entities"))
+
+def replace_entities(docs: DataFrame, text_col: str = "text", key: str = KEY) -> DataFrame:
+    """All rows and columns with surrogates in the text, and ``pii_entities``, the number of mentions replaced."""
+    taken = {c.lower() for c in docs.columns}
+    count = "pii_entities"
+    while count in taken:
+        count = f"pii_{count}"
+    found = cut(docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(_found, "hash string, a int, b int, kind string, canon string, value string").distinct())
+    table = _of_one_gender(found, key)
+    new = found.join(table, ["kind", "canon"]).select("hash", "a", "b", "kind", "value", "surrogate").mapInArrow(_formatted, "hash string, a int, b int, new string")
+    folder = new_folder(docs.sparkSession, "mentions")  # written, so that Spark knows its size
+    new.groupBy("hash").agg(F.array_sort(F.collect_list(F.struct("a", "b", "new"))).alias("spans")).write.parquet(folder)  # what one text holds
+    known = docs.sparkSession.read.schema("hash string, spans array<struct<a:int,b:int,new:string>>").parquet(folder)
+    # the columns of the input under numbers, so that no name clashes
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)])
+    at = f"c{docs.columns.index(text_col)}"
+    joined = rows.withColumn("own", F.md5(F.col(at).cast("binary"))).join(known, F.col("own") == F.col("hash"), "left")
+    spliced = F.expr(
+        f"""concat(concat_ws('', transform(spans, (s, i) -> concat(
+            substring({at}, if(i = 0, 0, spans[i - 1].b) + 1, s.a - if(i = 0, 0, spans[i - 1].b)), s.new))),
+            substring({at}, element_at(spans, -1).b + 1))"""
+    )
+    changed = F.when(F.col("spans").isNotNull(), spliced).otherwise(F.col(at))
+    out = [(changed if f"c{k}" == at else F.col(f"c{k}")).alias(c) for k, c in enumerate(docs.columns)]
+    return joined.select(*out, F.coalesce(F.size("spans"), F.lit(0)).alias(count))
 
 
 def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -155,3 +155,41 @@ def test_unlearned_languages_and_letters_are_rejected(sent):
     both = sent.createDataFrame([*learned, *rows[300:]], schema)
     kept = corpus_pipeline.language_id(sent, both, "")
     assert kept.columns == both.columns and {r["doc_id"] for r in kept.collect()} <= {r[0] for r in learned} and kept.count() >= 396
+
+
+def test_a_format_that_is_full_ends(sent):
+    """6,000 of the 10,000 addresses of four one-digit octets: no room for as many new ones, so they trade places."""
+    rows = [("ip", ".".join(f"{n:04d}")) for n in range(6000)] + [("ssn", "123456789"), ("family", "lee")]
+    table = surrogates.draw_surrogates(sent.createDataFrame(rows, "kind string, canon string")).collect()
+    assert len(table) == 6002 and len({(r.kind, r.surrogate) for r in table}) == 6002
+    assert all(r.surrogate != r.canon for r in table)
+    assert all(len(r.surrogate) == 7 for r in table if r.kind == "ip")
+
+
+def test_surrogates_with_clashing_columns_long_text_and_empty_table(sent):
+    names = ["pii_entities", "pii_hash", "own", "hash", "spans", "c0", "kind"]
+    schema = "doc_id long, text string, " + ", ".join(f"{n} string" for n in names)
+    text = "🙂 mail ann.lee@example.com or call +44 20 7946 0958, " + "no entity here " * 20_000 + "10.20.30.40"
+    rows = [(1, text), (1, text), (2, None), (3, ""), (None, "ann.lee@example.com")]
+    out = surrogates.replace_entities(sent.createDataFrame([(*r, *names) for r in rows], schema))
+    assert out.columns == ["doc_id", "text", *names, "pii_pii_entities"]
+    got = out.collect()
+    assert all(tuple(r[n] for n in names) == tuple(names) for r in got)
+    one, again = (r for r in got if r.doc_id == 1)
+    assert one == again and one.pii_pii_entities == 3 and "ann.lee" not in one.text and "10.20.30.40" not in one.text
+    assert one.text.startswith("🙂 mail ") and "no entity here " * 20_000 in one.text
+    assert {r.doc_id: r.text for r in got}[None] == surrogates.mentions(one.text)[0][3]
+    assert surrogates.replace_entities(sent.createDataFrame([], schema)).count() == 0
+
+
+def test_stages_with_clashing_columns(sent, lake_root):
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, lang string, doc int, th string, near_mark string, near_doc int, near_th int, pii_entities int"
+    rows = [(k, f"document {k} " + " ".join(f"word{k}x{j}" for j in range(30)), "en", 1, "t", "m", 2, 3, 4) for k in range(6)]
+    docs = sent.createDataFrame([*rows, (9, rows[0][1], *rows[0][2:])], schema)
+    sent.createDataFrame([(1, "what is the name of the river that runs through the old town")], "item_id long, text string").write.parquet(f"{lake_root}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        kept = stage(sent, docs, lake_root)
+        assert kept.columns == docs.columns, name
+        assert kept.count() == (6 if name == "near_dedup" else 7), name
