@@ -6,29 +6,30 @@ slots. There are two template forms. In the first, each such word is a slot, and
 begins a sentence or line is a word like others. In the second, it may be a name too, and words of one kind
 in a row, without a mark between them, are one slot ("New York", "1 200"), so values may be of other lengths;
 it knows number words and units of four languages. Windows of ``WINDOW`` words (slots of the second form) of the benchmark's items, as templates and as plain words, are
-hash-joined to the windows of all documents. The matches of a document and an item that lie on one
-diagonal (equal distance of their places) belong together. Their slots are consistent if each value of
-the item stands for one value of the document everywhere, and different values for different ones; a
-question with other numbers or names passes, a text that merely has the same frame with values mixed up
-does not.
+hash-joined to the windows of all documents. The matches of a document and an item that lie on diagonals
+(distances of their places) of at most ``GAP`` words' difference belong to one copy, which may have words put in
+or left out. Its slots are consistent if each value of the item stands for one value of the document everywhere
+in the copy, and different values for different ones; a question with other numbers or names passes, a text that
+merely has the same frame with values mixed up does not.
 
 A document is contaminated by an item if consistent matches cover half of the item's windows or
-``RUN`` windows in a row's worth of them. Over all diagonals each window of the item counts once, and each
-of the document, so a phrase that either repeats is not counted for each repetition. Items of fewer words (slots) than a window are matched as one window
-of their own length; items of fewer than ``LEAST`` words are too short to tell and are not searched.
-Template windows need ``LITERAL`` words besides slots (half of a shorter item).
+``RUN`` windows in a row's worth of them. Over all copies each window of the item counts once, and each
+of the document, so a phrase that either repeats is not counted for each repetition. Items of fewer words (slots)
+than a window are matched as one window of their own length: as plain words from one word on, as templates from
+``LEAST``. Template windows need ``LITERAL`` words besides slots (half of a shorter item).
 
-The hashes of the benchmark's windows are broadcast to filter the documents' windows in the tasks that
-read them, if they are at most ``BROADCAST`` (16 MB); beyond that all windows go to the join.
+A Bloom filter of the benchmark's window hashes goes to the tasks that read the documents, so that windows of
+no item stay there; the join decides. It has 16 bits for each hash, ``FILTER_BITS`` (32 MB) at most.
 
 Defined results: null and empty texts match nothing; a null id keeps its row,
 which is searched like others; repeated rows give equal
-rows; rows of one id with different texts are judged each by its own text; no rows, no result; an empty
-benchmark leaves everything clean. Other columns are not read.
+rows; rows of one id with different texts are judged each by its own text, and so are several texts of one item; no
+rows, no result; an empty benchmark leaves everything clean. Other columns are not read.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,16 +38,20 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from orderlake.llm.storage import cut
-from orderlake.llm.words import multipliers, sequence_hash, slices, words
+from orderlake.llm.words import mix, multipliers, sequence_hash, slices, words
 
 WINDOW = 8
 LITERAL = 4
 LEAST = 5
 #: Windows on one diagonal that are enough whatever the item's length: 13 words in a row.
 RUN = 6
-BROADCAST = 2_000_000
+#: Difference of the diagonals of one copy.
+GAP = 8
+#: Largest Bloom filter, a power of two.
+FILTER_BITS = 1 << 28
 
 PLAIN, NUMBER, UNIT, NAME = range(4)
 #: Plain words, template of single words, template of folded slots.
@@ -217,28 +222,53 @@ def _item_windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 for form in FORMS:
                     first = tokens.first[form]
                     count = np.diff(first)
-                    for size in [WINDOW, *range(LEAST, WINDOW)]:
+                    for size in [WINDOW, *range(LEAST if form else 1, WINDOW)]:
                         start, hashes = tokens.windows(form, size, np.flatnonzero(count >= WINDOW) if size == WINDOW else np.flatnonzero(count == size))
                         for s, h in zip(start.tolist(), hashes.tolist(), strict=True):
                             r = int(tokens.rows[form][s])
                             if h:
-                                out.append((part.column("item")[r].as_py(), r, int(count[r]) - size + 1, s - int(first[r]), size, int(np.uint64(h).astype(np.int64)), form, tokens.slots(form, s, size)))
-                names = ["item", "item_row", "total", "item_place", "size", "hash", "form", "item_slots"]
+                                out.append((part.column("item")[r].as_py(), part.column("item_th")[r].as_py(), int(count[r]) - size + 1, s - int(first[r]), size, int(np.uint64(h).astype(np.int64)), form, tokens.slots(form, s, size)))
+                names = ["item", "item_th", "total", "item_place", "size", "hash", "form", "item_slots"]
                 kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.struct([("kind", pa.int32()), ("value", pa.string())]))]
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kinds[k]) for k in range(8)], names=names)
 
-    schema = "item long, item_row long, total int, item_place int, size int, hash long, form int, item_slots array<struct<kind:int,value:string>>"
-    return items.select(F.col(id_col).cast("long").alias("item"), F.col(text_col).alias("body")).filter("item is not null").mapInArrow(run, schema)
+    schema = "item long, item_th long, total int, item_place int, size int, hash long, form int, item_slots array<struct<kind:int,value:string>>"
+    return items.select(F.col(id_col).cast("long").alias("item"), F.xxhash64(text_col).alias("item_th"), F.col(text_col).alias("body")).filter("item is not null").mapInArrow(run, schema)
+
+
+def _bits(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Three places of each hash in a filter of ``size`` bits (a power of two)."""
+    return np.stack([mix(hashes.view(U) + U(c)) & U(size - 1) for c in (1, 2, 3)])
+
+
+def bloom_filter(hashes: DataFrame) -> np.ndarray:
+    """Bytes of a Bloom filter of the column ``hash``: places in tasks, words put together in Spark."""
+    count = hashes.count()
+    size = min(FILTER_BITS, 1 << max(10, math.ceil(math.log2(16 * max(1, count)))))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = _bits(batch.column("hash").to_numpy(), size).reshape(-1).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(at >> 5), pa.array(np.int64(1) << (at & 31))], names=["word", "bits"])
+
+    words_ = hashes.mapInArrow(place, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).collect()  # at most size / 32
+    out = np.zeros(size >> 5, np.uint32)
+    out[np.array([r["word"] for r in words_], np.int64)] = np.array([r["bits"] for r in words_], np.uint32)
+    return out
+
+
+def _in_filter(filter_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    hit = np.ones(len(hashes), bool)
+    for at in _bits(hashes, len(filter_) << 5):
+        hit &= (filter_[at >> U(5)] >> (at & U(31)).astype(np.uint32) & np.uint32(1)).astype(bool)
+    return hit
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """Matches: ``doc``, ``th`` (id and hash of the text), ``item``, number of consistent windows and of the item's windows."""
-    known = cut(_item_windows(items, item_id, item_text).dropDuplicates(["item", "item_place", "hash", "form"]))
+    known = cut(_item_windows(items, item_id, item_text).dropDuplicates(["item", "item_th", "item_place", "hash", "form"]))
     sizes = sorted(r["size"] for r in known.select("size").distinct().collect())
-    few = known.select("hash").distinct()
-    number = few.count()
-    filter_ = np.sort(np.array([r["hash"] for r in few.collect()], np.int64)) if number <= BROADCAST else None
-    shared = docs.sparkSession.sparkContext.broadcast(filter_)
+    shared = docs.sparkSession.sparkContext.broadcast(bloom_filter(known.select("hash").distinct()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = shared.value
@@ -251,10 +281,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                         start, h = tokens.windows(form, size)
                         h = h.astype(np.int64)
                         hit = h != 0
-                        if wanted is not None and len(wanted):
-                            at = np.searchsorted(wanted, h)
-                            at[at == len(wanted)] = 0
-                            hit &= wanted[at] == h
+                        hit[hit] = _in_filter(wanted, h[hit])
                         for s, x in zip(start[hit].tolist(), h[hit].tolist(), strict=True):
                             r = int(tokens.rows[form][s])
                             rows.append(r)
@@ -278,13 +305,21 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     pairs = hits.join(known, ["hash", "form"]).withColumn("diagonal", F.col("place") - F.col("item_place"))
     # slot by slot: (kind, the item's value, the document's value)
     met = F.expr("transform(arrays_zip(item_slots, slots), x -> struct(x.item_slots.kind as kind, x.item_slots.value as own, x.slots.value as other))")
-    lines = pairs.groupBy("doc", "th", "item", "diagonal", "form").agg(
-        F.collect_set("item_place").alias("places"), F.max("total").alias("total"), F.array_distinct(F.flatten(F.collect_set(met))).alias("met")
-    )
-    consistent = F.expr("size(array_distinct(transform(met, x -> struct(x.kind, x.own)))) = size(met) and size(array_distinct(transform(met, x -> struct(x.kind, x.other)))) = size(met)")
-    lines = lines.filter(consistent).select("doc", "th", "item", "form", "diagonal", "total", F.size("places").alias("line"), F.explode("places").alias("own"))
-    # a place counts once, the item's as well as the document's, on however many diagonals it lies
-    lines = lines.withColumn("other", F.col("own") + F.col("diagonal")).groupBy("doc", "th", "item", "form")
+    key = ["doc", "th", "item", "item_th", "form"]
+    lines = pairs.groupBy(*key, "diagonal").agg(F.collect_set("item_place").alias("places"), F.max("total").alias("total"), F.array_distinct(F.flatten(F.collect_set(met))).alias("met"))
+    # diagonals near each other are one copy
+    along = Window.partitionBy(*key).orderBy("diagonal")
+    parted = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along) > GAP, F.lit(False)).cast("int")
+    copies = lines.withColumn("apart", parted).withColumn("copy", F.sum("apart").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    told = copies.groupBy(*key, "copy").agg(F.array_distinct(F.flatten(F.collect_list("met"))).alias("met"))
+    one_way = "size(array_distinct(transform(met, x -> struct(x.kind, x.{})))) = size(met)"
+    told = told.filter(f"{one_way.format('own')} and {one_way.format('other')}").select(*[F.col(c).alias(f"t_{c}") for c in [*key, "copy"]])
+    same = F.col("doc").eqNullSafe(F.col("t_doc"))
+    for c in [*key[1:], "copy"]:
+        same = same & (F.col(c) == F.col(f"t_{c}"))
+    lines = copies.join(told, same, "left_semi").select(*key, "diagonal", "total", F.size("places").alias("line"), F.explode("places").alias("own"))
+    # a place counts once, the item's as well as the document's, in however many copies it lies
+    lines = lines.withColumn("other", F.col("own") + F.col("diagonal")).groupBy(*key)
     lines = lines.agg(F.least(F.countDistinct("own"), F.countDistinct("other")).alias("windows"), F.max("line").alias("line"), F.max("total").alias("total"))
     enough = (2 * F.col("windows") >= F.col("total")) | (F.col("line") >= RUN)
     return lines.filter(enough).groupBy("doc", "th", "item").agg(F.max(F.struct("windows", "total")).alias("most")).select("doc", "th", "item", "most.*")
