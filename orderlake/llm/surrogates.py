@@ -19,9 +19,9 @@ entity of it has drawn ``ROUNDS`` times, all entities of its format take the val
 order by keyed hash. They stay distinct, but are real values then. Every mention is written in its own format:
 case and separators stay.
 
-Texts go to Python once. Only those with a digit of any script, ``@``, a title or the beginning of a secret
-are scanned for patterns; what comes back are the mentions of each text, by its hash. They are joined to their
-surrogates, put in format, and spliced into the texts by Spark.
+Texts are scanned for patterns once, and only those with a digit of any script, ``@``, a title or the
+beginning of a secret; what comes back are the mentions of each text, by its hash. They are joined to their
+surrogates, put in format, and spliced by Spark into the texts that have such a sign; the others don't move.
 
 Defined results: null and empty texts stay; a null id keeps its row, and its entities are replaced too;
 repeated rows give equal rows; no rows, no result. Other columns stay as they are; where the input has a
@@ -38,11 +38,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orderlake.llm.storage import cut, new_folder
+from orderlake.llm.storage import cut
 
 #: Default key; deployments pass their own.
 KEY = "surrogates"
@@ -380,21 +380,29 @@ def replace_entities(docs: DataFrame, text_col: str = "text", key: str = KEY) ->
     found = cut(docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(_found, "hash string, a int, b int, kind string, canon string, value string").distinct())
     table = _of_one_gender(found, key)
     new = found.join(table, ["kind", "canon"]).select("hash", "a", "b", "kind", "value", "surrogate").mapInArrow(_formatted, "hash string, a int, b int, new string")
-    folder = new_folder(docs.sparkSession, "mentions")  # written, so that Spark knows its size
-    new.groupBy("hash").agg(F.array_sort(F.collect_list(F.struct("a", "b", "new"))).alias("spans")).write.parquet(folder)  # what one text holds
-    known = docs.sparkSession.read.schema("hash string, spans array<struct<a:int,b:int,new:string>>").parquet(folder)
+    known = new.groupBy("hash").agg(F.array_sort(F.collect_list(F.struct("a", "b", "new"))).alias("spans"))  # what one text holds
+
+    @F.arrow_udf("boolean")
+    def maybe(texts: pa.Array) -> pa.Array:
+        return pa.array([t is not None and may_hold_entities(t) for t in (x.as_py() for x in texts)], pa.bool_())
+
     # the columns of the input under numbers, so that no name clashes
     rows = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)])
     at = f"c{docs.columns.index(text_col)}"
-    joined = rows.withColumn("own", F.md5(F.col(at).cast("binary"))).join(known, F.col("own") == F.col("hash"), "left")
+    # only texts with a sign of entities move; always by a merge join, so that the plan is one at every size
+    joined = rows.filter(maybe(at)).withColumn("own", F.md5(F.col(at).cast("binary"))).join(known.hint("merge"), F.col("own") == F.col("hash"), "left")
     spliced = F.expr(
         f"""concat(concat_ws('', transform(spans, (s, i) -> concat(
             substring({at}, if(i = 0, 0, spans[i - 1].b) + 1, s.a - if(i = 0, 0, spans[i - 1].b)), s.new))),
             substring({at}, element_at(spans, -1).b + 1))"""
     )
     changed = F.when(F.col("spans").isNotNull(), spliced).otherwise(F.col(at))
-    out = [(changed if f"c{k}" == at else F.col(f"c{k}")).alias(c) for k, c in enumerate(docs.columns)]
-    return joined.select(*out, F.coalesce(F.size("spans"), F.lit(0)).alias(count))
+
+    def named(text: Column, number: Column) -> list[Column]:
+        return [*[(text if f"c{k}" == at else F.col(f"c{k}")).alias(c) for k, c in enumerate(docs.columns)], number.cast("int").alias(count)]
+
+    rest = rows.filter(~maybe(at)).select(*named(F.col(at), F.lit(0)))
+    return joined.select(*named(changed, F.coalesce(F.size("spans"), F.lit(0)))).unionByName(rest)
 
 
 def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:

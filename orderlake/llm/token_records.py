@@ -151,7 +151,8 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_
             {"shard": pa.array([shard], pa.int32()), "path": [f"{folder}/part-{shard:05d}"], "width": pa.array([width], pa.int32()), "records": [records], "tokens": [tokens], "bytes": [size]}
         )
 
-    rows = docs.select(F.col(id_col).cast("long").alias(id_col), text_col).repartitionByRange(id_col).sortWithinPartitions(id_col, text_col)
+    # rows of one id (or of none) are dealt over tasks by how their texts begin, which keeps the order by id and text
+    rows = docs.select(F.col(id_col).cast("long").alias(id_col), text_col).repartitionByRange(F.col(id_col), F.substring(text_col, 1, 64)).sortWithinPartitions(id_col, text_col)
     return cut(rows.mapInArrow(write, MANIFEST))
 
 
