@@ -236,9 +236,9 @@ def _item_windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return items.select(F.col(id_col).cast("long").alias("item"), F.xxhash64(text_col).alias("item_th"), F.col(text_col).alias("body")).filter("item is not null").mapInArrow(run, schema)
 
 
-def _bits(hashes: np.ndarray, size: int) -> np.ndarray:
-    """Three places of each hash in a filter of ``size`` bits (a power of two)."""
-    return np.stack([mix(hashes.view(U) + U(c)) & U(size - 1) for c in (1, 2, 3)])
+def _bits(hashes: np.ndarray, size: int, k: int) -> np.ndarray:
+    """The k-th (of three) place of each hash in a filter of ``size`` bits (a power of two): its upper bits, mixed by a multiplication."""
+    return hashes * (U(0x9E3779B97F4A7C15), U(0xD1B54A32D192ED03), U(0xA0761D6478BD642F))[k] >> U(65 - size.bit_length())
 
 
 def bloom_filter(hashes: DataFrame) -> np.ndarray:
@@ -248,7 +248,8 @@ def bloom_filter(hashes: DataFrame) -> np.ndarray:
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = _bits(batch.column("hash").to_numpy(), size).reshape(-1).astype(np.int64)
+            own = batch.column("hash").to_numpy().view(U)
+            at = np.concatenate([_bits(own, size, k) for k in range(3)]).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(at >> 5), pa.array(np.int64(1) << (at & 31))], names=["word", "bits"])
 
     words_ = hashes.mapInArrow(place, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).collect()  # at most size / 32
@@ -258,16 +259,18 @@ def bloom_filter(hashes: DataFrame) -> np.ndarray:
 
 
 def _in_filter(filter_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    hit = np.ones(len(hashes), bool)
-    for at in _bits(hashes, len(filter_) << 5):
-        hit &= (filter_[at >> U(5)] >> (at & U(31)).astype(np.uint32) & np.uint32(1)).astype(bool)
-    return hit
+    """Places of the hashes that the filter may hold; few get beyond the first look."""
+    left = np.arange(len(hashes))
+    for k in range(3):
+        at = _bits(hashes[left], len(filter_) << 5, k)
+        left = left[(filter_[at >> U(5)] >> (at & U(31)).astype(np.uint32) & np.uint32(1)).astype(bool)]
+    return left
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """Matches: ``doc``, ``th`` (id and hash of the text), ``item``, number of consistent windows and of the item's windows."""
     known = cut(_item_windows(items, item_id, item_text).dropDuplicates(["item", "item_th", "item_place", "hash", "form"]))
-    sizes = sorted(r["size"] for r in known.select("size").distinct().collect())
+    sizes = sorted((r["size"], r["form"]) for r in known.select("size", "form").distinct().collect())
     shared = docs.sparkSession.sparkContext.broadcast(bloom_filter(known.select("hash").distinct()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,19 +279,17 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
             for part in slices(batch, "body"):
                 tokens = Tokens(part.column("body"))
                 places, hashes, forms, slots, rows = [], [], [], [], []
-                for size in sizes:
-                    for form in FORMS:
-                        start, h = tokens.windows(form, size)
-                        h = h.astype(np.int64)
-                        hit = h != 0
-                        hit[hit] = _in_filter(wanted, h[hit])
-                        for s, x in zip(start[hit].tolist(), h[hit].tolist(), strict=True):
-                            r = int(tokens.rows[form][s])
-                            rows.append(r)
-                            places.append(s - int(tokens.first[form][r]))
-                            hashes.append(x)
-                            forms.append(form)
-                            slots.append(tokens.slots(form, s, size))
+                for size, form in sizes:
+                    start, h = tokens.windows(form, size)
+                    hit = np.flatnonzero(h)
+                    hit = hit[_in_filter(wanted, h[hit])]
+                    for s, x in zip(start[hit].tolist(), h[hit].view(np.int64).tolist(), strict=True):
+                        r = int(tokens.rows[form][s])
+                        rows.append(r)
+                        places.append(s - int(tokens.first[form][r]))
+                        hashes.append(x)
+                        forms.append(form)
+                        slots.append(tokens.slots(form, s, size))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc").take(pa.array(rows, pa.int64())), part.column("th").take(pa.array(rows, pa.int64())),
@@ -311,13 +312,10 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     along = Window.partitionBy(*key).orderBy("diagonal")
     parted = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along) > GAP, F.lit(False)).cast("int")
     copies = lines.withColumn("apart", parted).withColumn("copy", F.sum("apart").over(along.rowsBetween(Window.unboundedPreceding, 0)))
-    told = copies.groupBy(*key, "copy").agg(F.array_distinct(F.flatten(F.collect_list("met"))).alias("met"))
+    told = F.array_distinct(F.flatten(F.collect_list("met").over(Window.partitionBy(*key, "copy"))))  # at most the copy's slots
     one_way = "size(array_distinct(transform(met, x -> struct(x.kind, x.{})))) = size(met)"
-    told = told.filter(f"{one_way.format('own')} and {one_way.format('other')}").select(*[F.col(c).alias(f"t_{c}") for c in [*key, "copy"]])
-    same = F.col("doc").eqNullSafe(F.col("t_doc"))
-    for c in [*key[1:], "copy"]:
-        same = same & (F.col(c) == F.col(f"t_{c}"))
-    lines = copies.join(told, same, "left_semi").select(*key, "diagonal", "total", F.size("places").alias("line"), F.explode("places").alias("own"))
+    lines = copies.withColumn("met", told).filter(f"{one_way.format('own')} and {one_way.format('other')}")
+    lines = lines.select(*key, "diagonal", "total", F.size("places").alias("line"), F.explode("places").alias("own"))
     # a place counts once, the item's as well as the document's, in however many copies it lies
     lines = lines.withColumn("other", F.col("own") + F.col("diagonal")).groupBy(*key)
     lines = lines.agg(F.least(F.countDistinct("own"), F.countDistinct("other")).alias("windows"), F.max("line").alias("line"), F.max("total").alias("total"))

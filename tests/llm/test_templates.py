@@ -133,6 +133,6 @@ def test_filter_loses_no_hash(spark):
     ship(spark)
     hashes = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 5000)
     filter_ = t.bloom_filter(spark.createDataFrame([(int(h),) for h in hashes], "hash long"))
-    assert t._in_filter(filter_, hashes).all()
+    assert len(t._in_filter(filter_, hashes.view(np.uint64))) == len(hashes)
     other = np.random.default_rng(2).integers(-(2**63), 2**63 - 1, 50_000)
-    assert t._in_filter(filter_, other).mean() < 0.02
+    assert len(t._in_filter(filter_, other.view(np.uint64))) < 1000
