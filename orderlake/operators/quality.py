@@ -224,7 +224,7 @@ def critical_failures(results: DataFrame) -> DataFrame:
 
 def freshness_check(
     df: DataFrame,
-    as_of: Column,
+    as_of: Column | str,
     hours: int = 24,
     ts_col: str = "event_time",
     table_name: str = "silver.orders",
@@ -232,9 +232,14 @@ def freshness_check(
 ) -> DataFrame:
     """Table-level freshness, fails when the newest ``ts_col`` is older than ``hours``.
 
-    ``as_of`` is a timestamp column expression (a literal or a scalar subquery).
+    ``as_of`` is a timestamp column expression (a literal or a scalar subquery), or the name of a column
+    of ``df`` whose newest value it is: that takes no pass of its own.
     """
-    latest = df.agg(F.max(F.col(ts_col)).alias("last_event_time"))
+    newest = F.max(F.col(ts_col)).alias("last_event_time")
+    if isinstance(as_of, str):
+        latest, as_of = df.agg(newest, F.max(F.col(as_of)).alias("as_of")), F.col("as_of")
+    else:
+        latest = df.agg(newest)
     lag_hours = (F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(F.col("last_event_time"))) / F.lit(3_600_000_000.0)
     stale = F.coalesce(F.col("last_event_time") < as_of.cast("timestamp") - F.make_interval(hours=F.lit(hours)), F.lit(True))
     return latest.select(

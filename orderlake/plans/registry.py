@@ -219,7 +219,9 @@ def ops_records(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 def backfill_range_frames(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, F.Column]:
     src = lines(spark, sf)
-    days_of = src.select(invoice_day(src).alias("d"))
+    # the first and last day of orders that have lines, from two columns of two tables
+    with_lines = spark.read.parquet(f"{sf}/lineitem.parquet").select(F.col("l_orderkey").alias("o_orderkey"))
+    days_of = spark.read.parquet(f"{sf}/orders.parquet").join(with_lines, "o_orderkey", "left_semi").select(F.to_date("o_orderdate").alias("d"))
     start, end = days_of.agg(F.min("d")).scalar(), days_of.agg(F.max("d")).scalar()
     days = bf.day_sequence(spark, start, end)
     prefix = F.format_string(bf.RANGE_PREFIX, F.date_format(start, "yyyy-MM-dd"), F.date_format(end, "yyyy-MM-dd"))
@@ -371,9 +373,7 @@ def q_dq_gate_summary(spark, sf):
 
 
 def q_dq_freshness(spark, sf):
-    s = silver_latest(spark, sf)
-    as_of = s.agg(F.max("updated_at")).scalar()
-    return _ntz(quality.freshness_check(s, as_of, hours=24))
+    return _ntz(quality.freshness_check(silver_latest(spark, sf), "updated_at", hours=24))
 
 
 def q_gold_daily_sales(spark, sf):

@@ -8,10 +8,10 @@ from contextlib import redirect_stdout
 
 from pyspark.sql import functions as F
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
 from orderlake.operators import quality as Q
 from orderlake.plans import registry as R
+from orderlake.plans.all_queries import QUERIES
 from orderlake.sources import tables as T
 
 
@@ -50,7 +50,7 @@ def test_quality_results_single_pass(spark):
 
 
 def test_no_cartesian_product_anywhere(spark):
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         p = plan(fn(spark, SF_SMALL), "simple")
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
 
