@@ -39,6 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from orderlake.llm.storage import new_folder
 from orderlake.llm.words import group_sums, mix, multipliers, slices, words
 
 BUCKETS = 1 << 15
@@ -252,14 +253,16 @@ def train(texts: list[str], labels: list[str]) -> LanguageModel | None:
 
 def fit(docs: DataFrame, label_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", per_language: int = PER_LANGUAGE) -> LanguageModel | None:
     """Train on the labelled documents with the smallest hashes, of each label ``per_language`` at most, or a share of ``SAMPLE``, but ``LEAST``."""
-    labelled = docs.select(F.col(label_col).alias("label"), F.col(text_col).alias("text"), F.xxhash64(id_col, F.lit(SEED)).alias("h")).filter("label is not null and text is not null")
-    counts = labelled.groupBy("label").agg(F.count("*").alias("n"))
-    take = counts.agg(F.least(F.lit(per_language), F.greatest(F.lit(LEAST), F.floor(F.lit(SAMPLE) / F.greatest(F.count("*"), F.lit(1)))))).scalar()
-    # a first cut by the hash, so that few texts move; it holds twice what is taken from it
-    sized = labelled.join(counts, "label").withColumn("take", take)
-    some = sized.filter((F.col("h") / F.lit(2.0**64) + 0.5) * F.col("n") < 2 * F.col("take"))
-    few = Window.partitionBy("label").orderBy("h", F.xxhash64("text"))
-    sample = some.withColumn("place", F.row_number().over(few)).filter("place <= take").select("label", "h", "text")
+    keys = ["label", "h", "th"]
+    labelled = docs.select(F.col(label_col).cast("string").alias("label"), F.xxhash64(id_col, F.lit(SEED)).alias("h"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text")).filter("label is not null and text is not null")
+    take = min(per_language, max(LEAST, SAMPLE // max(1, labelled.select("label").distinct().count())))
+    # the rows are chosen by their hashes alone (each task sends ``take`` of a label at most), then their texts are fetched
+    few = Window.partitionBy("label").orderBy("h", "th")
+    chosen = labelled.select(*keys).withColumn("place", F.row_number().over(few)).filter(F.col("place") <= take).select(*keys).distinct()
+    folder = new_folder(docs.sparkSession, "language-sample")  # written, so that Spark knows how small it is
+    chosen.write.parquet(folder)
+    wanted = docs.sparkSession.read.schema("label string, h long, th long").parquet(folder)
+    sample = labelled.join(wanted, keys, "left_semi").dropDuplicates(keys).select("label", "h", "text")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted(row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("label", "h", "text")), strict=True))
