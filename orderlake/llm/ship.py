@@ -1,4 +1,4 @@
-"""Send this package to the executors, for sessions whose workers cannot import it."""
+"""Send this package to the executors, for sessions whose workers cannot import it, in batches of fewer rows."""
 
 from __future__ import annotations
 
@@ -14,9 +14,15 @@ import orderlake
 
 _sent: set[str] = set()
 
+#: Rows of whole texts in one Arrow batch: some MB at both ends, where Spark's default of 10,000 takes a hundred.
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+
 
 def ship(spark: SparkSession) -> None:
-    """Once for each application: hand a zip of the package to ``addPyFile``."""
+    """Once for each application: hand a zip of the package to ``addPyFile``. A session that allows larger Arrow
+    batches than ``BATCH_ROWS`` rows gets this bound."""
+    if int(spark.conf.get(BATCH_SETTING)) > BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
     context = spark.sparkContext
     if context.applicationId in _sent:
         return
