@@ -275,6 +275,22 @@ health AS (
 )""",
 )
 
+BATCH_RUNS = """
+batch_runs AS (
+  SELECT bronze_batch_id AS run_id, 'bronze_orders' AS pipeline_step, 'success' AS status, count(*) AS row_count,
+         'Ingested Bronze orders for ' || bronze_batch_id AS message, min(updated_at) AS created_at
+  FROM fty GROUP BY bronze_batch_id
+  UNION ALL
+  SELECT bronze_batch_id, 'silver_orders', 'success', count(DISTINCT order_id),
+         'Merged staged Bronze orders for ' || bronze_batch_id, min(updated_at)
+  FROM fty GROUP BY bronze_batch_id
+  UNION ALL
+  SELECT run_id, 'quality_checks',
+         CASE WHEN max(CASE WHEN severity = 'critical' AND status = 'fail' THEN 1 ELSE 0 END) = 1 THEN 'failed' ELSE 'success' END,
+         count(*), 'Completed ' || CAST(count(*) AS VARCHAR) || ' Silver data quality checks', max(created_at)
+  FROM dq GROUP BY run_id
+)"""
+
 GOLD_DAILY = """
 SELECT event_date,
        count(DISTINCT invoice_no) AS invoice_count,
@@ -550,7 +566,11 @@ FROM (SELECT max(event_time) AS last_event_time, (SELECT max(updated_at) FROM si
     q["gold_country_revenue"] = silver_gold + GOLD_COUNTRY.format(src="silver")
     q["gold_order_status_summary"] = silver_gold + GOLD_STATUS.format(src="silver")
     q["gold_run_health"] = _with(*OPS) + "\nSELECT pipeline_step, last_run_at, last_status, last_message FROM health"
-    q["run_log_latest"] = _with(*OPS) + "\nSELECT pipeline_step, last_run_at, last_status, last_message FROM latest"
+    q["run_log_latest"] = _with(*OPS, BATCH_RUNS) + """
+SELECT pipeline_step, last_run_at, last_status, last_message FROM latest
+UNION ALL
+SELECT pipeline_step, created_at, status, message FROM batch_runs
+QUALIFY row_number() OVER (PARTITION BY pipeline_step ORDER BY created_at DESC, run_id DESC) = 1"""
     q["gold_affected_dates"] = _with(
         *TWO_LOADS,
         """

@@ -82,3 +82,20 @@ def test_duplicate_count_without_flag_matches_flagged(spark):
     assert flagged == direct == EXPECTED_FAILED
     empty = Q.quality_results(rows.limit(0), duplicate_keys=["order_id"]).collect()
     assert all(r.failed_count == 0 and r.status == "pass" for r in empty)
+
+
+def test_latest_runs_cover_the_batches_of_all_lines(spark):
+    from orderlake.plans import backfill as bf
+    from orderlake.plans import registry as R
+    from conftest import SF_SMALL
+
+    rows = silver_rows(spark).withColumn("bronze_batch_id", F.when(F.col("order_id") == "k1", F.lit("b1")).otherwise(F.lit("b2")))
+    runs = {(r.run_id, r.pipeline_step): (r.status, r.row_count) for r in bf.batch_runs(rows).collect()}
+    assert runs == {
+        ("b1", "bronze_orders"): ("success", 1), ("b1", "silver_orders"): ("success", 1), ("b1", "quality_checks"): ("success", 7),
+        ("b2", "bronze_orders"): ("success", 6), ("b2", "silver_orders"): ("success", 5), ("b2", "quality_checks"): ("failed", 7),
+    }
+    twins = rows.filter("order_id = 'k5'").withColumn("bronze_batch_id", F.lit("b3"))
+    assert {r.status for r in bf.batch_runs(twins).filter("pipeline_step = 'quality_checks'").collect()} == {"failed"}
+    steps = {r.pipeline_step for r in R.q_run_log_latest(spark, SF_SMALL).collect()}
+    assert steps > {"bronze_orders", "silver_orders", "quality_checks"}
