@@ -51,3 +51,20 @@ def test_more_values_than_one_bucket_holds(spark):
 def test_no_rows(spark):
     rows = facts(spark, 1).limit(0)
     assert db.counts(db.bitmaps(rows, ["day"], "customer", db.dictionary(rows, "customer")), "n").count() == 0
+
+
+def test_thinly_spread_values_cost_a_word_each(spark):
+    rows = spark.range(70_000).select((F.col("id") % 500).cast("int").alias("day"), F.concat(F.lit("v"), F.col("id").cast("string")).alias("customer"))
+    state = db.bitmaps(rows, ["day"], "customer", db.dictionary(rows, "customer"))
+    assert state.count() == 1_500  # every day lies in all three buckets
+    size = state.select(F.sum(F.length(F.to_json(F.struct("bitmap"))))).first()[0]
+    assert size < 70_000 * 60  # whole bitmaps are 6 MB and more
+    assert db.counts(db.rolled_up(state, []), "n").collect()[0][0] == 70_000
+
+
+def test_sign_bit_and_last_bit_of_a_bucket(spark):
+    rows = spark.range(32_770).select(F.lit(1).alias("day"), F.col("id").cast("string").alias("customer"))
+    words = spark.range(32_770).select(F.col("id").cast("string").alias("value"), (F.col("id") + 1).alias("id"))
+    assert as_dict(db.counts(db.rolled_up(db.bitmaps(rows, ["day"], "customer", words), ["day"]), "n")) == {(1,): 32_770}
+    ends = rows.filter("customer in ('63', '32767', '32768')")
+    assert as_dict(db.counts(db.merged(db.bitmaps(ends, ["day"], "customer", words), db.bitmaps(rows.limit(0), ["day"], "customer", words)), "n")) == {(1,): 3}
