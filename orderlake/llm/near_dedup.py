@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.llm.components import components
+from orderlake.llm.lean import lean
 from orderlake.llm.packed import pack_text, unpack
 from orderlake.llm.storage import cut
 from orderlake.llm.words import mix, multipliers, sequence_hash, slices, words
@@ -132,7 +133,7 @@ def _described(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
                     names=["doc", "th", "n", "d1", "d2", "keys"],
                 )
 
-    return docs.mapInArrow(run, "doc long, th long, n long, d1 long, d2 long, keys array<long>")
+    return docs.mapInArrow(lean(run), "doc long, th long, n long, d1 long, d2 long, keys array<long>")
 
 
 def _overlap(row_a: np.ndarray, a: np.ndarray, row_b: np.ndarray, b: np.ndarray, rows: int) -> np.ndarray:
@@ -158,7 +159,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
                 union = np.bincount(a[0], minlength=n) + np.bincount(b[0], minlength=n) - both
                 yield part.select(["a", "b"]).filter(pa.array((100 * both >= percent * union) & (union > 0)))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(lean(check), "a long, b long")
 
 
 def _block_links(table: pa.Table, k: int, percent: int) -> pa.Table:

@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlake.llm.lean import lean
 from orderlake.llm.wordcodes import WordEncoder
 from orderlake.llm.words import slices
 
@@ -33,6 +34,8 @@ CAPACITY = 2048
 ATTENTION_SPAN = 1024
 #: Ids packed together.
 BLOCK_TOKENS = 2_000_000
+#: Pieces in one Arrow batch, of a sequence's ids at most: a few MB at both ends.
+BATCH_PIECES = 512
 
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -105,11 +108,12 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", t
             keys = pa.concat_arrays([x[0] for x in held])
             lengths = np.concatenate([np.diff(x[1]) for x in held])
             ids = np.concatenate([x[2] for x in held])
+            held.clear()
             first = np.concatenate(([0], np.cumsum(lengths)[:-1]))
             pieces = np.array(pack_block(lengths, capacity), np.int64).reshape(-1, 5)
             sequences = int(pieces[:, 3].max()) + 1 if len(pieces) else 0
-            for k in range(0, len(pieces), 4096):
-                d, start, n, sequence, offset = pieces[k : k + 4096].T
+            for k in range(0, len(pieces), BATCH_PIECES):
+                d, start, n, sequence, offset = pieces[k : k + BATCH_PIECES].T
                 own = [ids[a : a + m].astype("<u4") for a, m in zip((first[d] + start).tolist(), n.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -131,7 +135,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", t
                     held, count = [], 0
         yield from flush()
 
-    return docs.select(F.col(id_col).cast("long").alias(id_col), text_col).mapInArrow(run, f"`{id_col}` long, {PIECES}, ids array<int>")
+    return docs.select(F.col(id_col).cast("long").alias(id_col), text_col).mapInArrow(lean(run), f"`{id_col}` long, {PIECES}, ids array<int>")
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,6 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from orderlake.llm.lean import lean
 from orderlake.llm.storage import cut
 
 #: Default key; deployments pass their own.
@@ -377,9 +378,9 @@ def replace_entities(docs: DataFrame, text_col: str = "text", key: str = KEY) ->
     count = "pii_entities"
     while count in taken:
         count = f"pii_{count}"
-    found = cut(docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(_found, "hash string, a int, b int, kind string, canon string, value string").distinct())
+    found = cut(docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(lean(_found), "hash string, a int, b int, kind string, canon string, value string").distinct())
     table = _of_one_gender(found, key)
-    new = found.join(table, ["kind", "canon"]).select("hash", "a", "b", "kind", "value", "surrogate").mapInArrow(_formatted, "hash string, a int, b int, new string")
+    new = found.join(table, ["kind", "canon"]).select("hash", "a", "b", "kind", "value", "surrogate").mapInArrow(lean(_formatted), "hash string, a int, b int, new string")
     known = new.groupBy("hash").agg(F.array_sort(F.collect_list(F.struct("a", "b", "new"))).alias("spans"))  # what one text holds
 
     @F.arrow_udf("boolean")

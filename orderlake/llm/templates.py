@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from orderlake.llm.lean import lean
 from orderlake.llm.storage import cut
 from orderlake.llm.words import mix, multipliers, sequence_hash, slices, words
 
@@ -302,7 +303,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     body = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("body")).filter("body is not null")
     if not sizes:
         body = body.limit(0)
-    hits = body.mapInArrow(run, HITS.replace("rid long, ", ""))
+    hits = body.mapInArrow(lean(run), HITS.replace("rid long, ", ""))
     pairs = hits.join(known, ["hash", "form"]).withColumn("diagonal", F.col("place") - F.col("item_place"))
     # slot by slot: (kind, the item's value, the document's value)
     met = F.expr("transform(arrays_zip(item_slots, slots), x -> struct(x.item_slots.kind as kind, x.item_slots.value as own, x.slots.value as other))")
